@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe
+from quarry.llm import bpe, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_rules": rules.op4_quality_rules,
     "op8_byte_bpe": bpe.op8_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": rules.OP4_SQL,
+}

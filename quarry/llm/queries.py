@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, rules
+from quarry.llm import bpe, rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": rules.op4_quality_rules,
+    "op5_secret_scan": secrets.op5_secret_scan,
     "op8_byte_bpe": bpe.op8_byte_bpe,
 }
 

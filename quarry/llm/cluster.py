@@ -40,3 +40,15 @@ def in_batches(docs: DataFrame, keys: list[str], total_bytes: int, batch_bytes:
     n = max(8, math.ceil(total_bytes / batch_bytes))
     dealt = docs.withColumn(BATCH, F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
     return dealt.repartition(n, BATCH), n
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A DataFrame of rows that the driver holds. Its size is known to the planner, which broadcasts it only below its threshold."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kind = T._parse_datatype_string(schema)
+    arrow = to_arrow_schema(kind)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(kind.fields)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), kind)

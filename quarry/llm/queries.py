@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, rules, secrets
+from quarry.llm import bpe, mixing, rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix": mixing.op1_mix,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op8_byte_bpe": bpe.op8_byte_bpe,

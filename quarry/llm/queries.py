@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, mixing, rules, secrets
+from quarry.llm import bpe, mixing, quality, rules, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": mixing.op1_mix,
+    "op2_quality_classifier": quality.op2_quality_classifier,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op8_byte_bpe": bpe.op8_byte_bpe,

@@ -71,7 +71,7 @@ def ngram_features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 #: Bytes of the word beginnings that word_features() adds.
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (3, 4, 5, 6)
 
 
 def word_features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

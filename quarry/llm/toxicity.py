@@ -175,7 +175,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold:
     for k, v in rows:
         hit = np.isin(k, useful, assume_unique=True)
         slim.append((k[hit], v[hit]))
-    return train_ftrl(slim, target, once=True, alpha=0.5, l1=0.1, l2=0.02), model
+    return train_ftrl(slim, target, once=True, epochs=8, alpha=3.0, l1=0.02, l2=0.002), model
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int = FOLD, folds: int = FOLDS, threshold: float = THRESHOLD) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, mixing, quality, rules, secrets, substrings, toxicity
+from quarry.llm import bpe, mixing, quality, rules, secrets, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": mixing.op1_mix,
@@ -16,9 +16,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scan": secrets.op5_secret_scan,
     "op6_substring_dedup": substrings.op6_substring_dedup,
     "op8_byte_bpe": bpe.op8_byte_bpe,
+    "op10_top_k": topk.op10_top_k,
 }
 
 ORACLES: dict[str, str] = {
     "op4_quality_rules": rules.OP4_SQL,
     "op6_substring_dedup": substrings.OP6_SQL,
+    "op10_top_k": topk.OP10_SQL,
 }

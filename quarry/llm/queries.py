@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, mixing, quality, rules, secrets, substrings, topk, toxicity
+from quarry.llm import bpe, hmm, mixing, quality, rules, secrets, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": mixing.op1_mix,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op6_substring_dedup": substrings.op6_substring_dedup,
+    "op7_hmm_scores": hmm.op7_hmm_scores,
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op10_top_k": topk.op10_top_k,
 }

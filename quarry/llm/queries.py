@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, hmm, mixing, quality, rules, secrets, substrings, topk, toxicity
+from quarry.llm import bpe, hmm, jaccard, mixing, quality, rules, secrets, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": mixing.op1_mix,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": substrings.op6_substring_dedup,
     "op7_hmm_scores": hmm.op7_hmm_scores,
     "op8_byte_bpe": bpe.op8_byte_bpe,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_top_k": topk.op10_top_k,
 }
 

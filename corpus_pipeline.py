@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source and the token ids of every document of the mix, with their number and the digests of a round trip."""
-    return bpe.round_trip(docs, ["doc_id", "lang", "source"])
+    return bpe.round_trip(docs, ["doc_id", "lang", "source"], with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -251,25 +251,30 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = No
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def round_trip(docs: DataFrame, keep: list[str], path: str | None = None, pattern: str | None = None, text: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, keep: list[str], path: str | None = None, pattern: str | None = None, text: str = "text", with_ids: bool = False) -> DataFrame:
     """Columns `keep`, then n_tokens and SHA-256 of the ids (little-endian 32 bits) and of the decoded bytes.
 
-    Encodes and decodes in one pass over the text, so that neither ids nor bytes leave the worker.
+    Encodes and decodes in one pass over the text, so that ids leave the worker only if asked for (column ids).
     """
     path, pattern = path or _default()[0], pattern or _default()[1]
     kept = docs.select(*keep).schema
-    schema = T.StructType([*kept.fields, *T._parse_datatype_string(DIGESTS).fields])
+    schema = T.StructType([*kept.fields, *T._parse_datatype_string(DIGESTS + ", ids array<int>" * with_ids).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, pattern)
         for batch in batches:
-            n, a, b = [], [], []
+            n, a, b, ids = [], [], [], []
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             for x in bpe.encode_batch(texts):
                 n.append(len(x) // 4)
                 a.append(hashlib.sha256(x).hexdigest())
                 b.append(hashlib.sha256(bpe.decode(x)).hexdigest())
+                if with_ids:
+                    ids.append(x)
             cols = [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+            if with_ids:
+                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), flat))
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)

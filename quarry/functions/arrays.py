@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value evaluated once. A lambda evaluates what it captures for every element; its own argument it does not."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def total(x: Column) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
@@ -88,8 +95,8 @@ def unit_box(b: Column, scale: float = 1000.0) -> Column:
 
 def ngrams(words: Column, n: int) -> Column:
     """Runs of n words joined by blanks; none where there are fewer."""
-    at = F.sequence(F.lit(1), F.size(words) - F.lit(n - 1))
-    return F.when(F.size(words) >= n, F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - F.lit(n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+    return let(words, lambda w: F.when(F.size(w) >= n, runs(w)).otherwise(F.array().cast("array<string>")))
 
 
 def sublist_positions(x: Column, part: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.arrays import let
+
 PARTS = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("content", T.StringType())]))
 
 
@@ -54,7 +56,7 @@ def fill_placeholders(template: Column, values: dict[str, Column]) -> Column:
 
 def bbox_text(bbox: Column) -> Column:
     """(x1,y1),(x2,y2) of a flat array of coordinates."""
-    pairs = F.transform(F.sequence(F.lit(0), F.size(bbox) / 2 - 1), lambda i: F.concat(F.lit("("), F.get(bbox, (2 * i).cast("int")).cast("string"), F.lit(","), F.get(bbox, (2 * i + 1).cast("int")).cast("string"), F.lit(")")))
+    pairs = F.transform(F.sequence(F.lit(0), (F.size(bbox) / 2).cast("int") - 1), lambda i: F.concat(F.lit("("), F.get(bbox, (2 * i).cast("int")).cast("string"), F.lit(","), F.get(bbox, (2 * i + 1).cast("int")).cast("string"), F.lit(")")))
     return F.array_join(pairs, ",")
 
 
@@ -128,14 +130,19 @@ def mean_reward(choices: Column) -> Column:
 def word_counts_overlap(a: Column, b: Column) -> Column:
     """Size of the multiset intersection of two word arrays."""
     count = lambda words, w: F.size(F.filter(words, lambda x: x == w))
-    return F.aggregate(F.array_intersect(a, b), F.lit(0), lambda acc, w: acc + F.least(count(a, w), count(b, w)))
+    both = lambda x, y: F.aggregate(F.array_intersect(x, y), F.lit(0), lambda acc, w: acc + F.least(count(x, w), count(y, w)))
+    return let(a, lambda x: let(b, lambda y: both(x, y)))
 
 
 def token_f(a: Column, b: Column, beta: float = 1.0) -> Column:
     """F-beta of a prediction's words against a reference's; both empty: 1, one empty: 0."""
-    both, na, nb = word_counts_overlap(a, b).cast("double"), F.size(a), F.size(b)
-    p, r, b2 = both / na, both / nb, beta * beta
-    return F.when((na == 0) & (nb == 0), 1.0).when((na == 0) | (nb == 0) | (both == 0), 0.0).otherwise((1 + b2) * p * r / (b2 * p + r))
+    na, nb, b2 = F.size(a), F.size(b), beta * beta
+
+    def of(both: Column) -> Column:
+        p, r = both / na, both / nb
+        return F.when((na == 0) & (nb == 0), 1.0).when((na == 0) | (nb == 0) | (both == 0), 0.0).otherwise((1 + b2) * p * r / (b2 * p + r))
+
+    return let(word_counts_overlap(a, b).cast("double"), of)
 
 
 def media_kind(path: Column) -> Column:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.arrays import key_value_scores, ngrams
+from quarry.functions.arrays import key_value_scores, let, ngrams
 from quarry.functions.text import final_answer
 
 
@@ -38,7 +38,7 @@ def cosine_reward(correct: Column, length: Column, max_length: int, right: tuple
 def repetition_reward(text: Column, n: int = 3, penalty: float = -1.0) -> Column:
     """(1 - distinct / all n-grams) * penalty; 0 for fewer than n words."""
     grams = ngrams(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), n)
-    return F.when(F.size(grams) > 0, (1 - F.size(F.array_distinct(grams)) / F.size(grams)) * penalty).otherwise(F.lit(0.0))
+    return let(grams, lambda g: F.when(F.size(g) > 0, (1 - F.size(F.array_distinct(g)) / F.size(g)) * penalty).otherwise(F.lit(0.0)))
 
 
 def soft_overlong_reward(length: Column, max_length: int, cache: int) -> Column:

@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.arrays import pad
+from quarry.functions.arrays import let, pad
 from quarry.functions.text import fill_placeholders, parts_of
 from quarry.operators.preprocess import MESSAGES, message
 
@@ -238,14 +238,25 @@ def truncate(df: DataFrame, max_length: int, strategy: str, protected: Sequence[
         raise ValueError(strategy)
     stays = F.transform(F.col(ids), lambda t: t.isin(*protected) if protected else F.lit(False))
     room = F.lit(max_length) - F.size(F.filter(stays, lambda s: s))
-    # Free tokens are numbered from the side that is kept.
-    number = F.aggregate(F.reverse(stays) if strategy == "left" else stays, F.array().cast("array<int>"), lambda acc, s: F.concat(acc, F.array(F.when(F.size(acc) > 0, F.element_at(acc, -1)).otherwise(0) + F.when(s, 0).otherwise(1))))
-    number = F.reverse(number) if strategy == "left" else number
-    zipped = F.arrays_zip(F.col(ids).alias("t"), F.col(labels).alias("l"), stays.alias("s"), number.alias("k"))
-    kept = F.filter(zipped, lambda z: z["s"] | (z["k"] <= room))
-    out = df.withColumn("__kept", F.when(n > max_length, kept).otherwise(zipped))
-    cut = F.col("__long")
-    return out.withColumn("__long", n > max_length).withColumns({ids: F.transform("__kept", lambda z: z["t"]), labels: F.when(cut, first(F.transform("__kept", lambda z: z["l"]))).otherwise(F.transform("__kept", lambda z: z["l"]))}).drop("__kept", "__long")
+    # Tokens are taken from the side that is kept: protected ones, and free ones while there is room.
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<t:int,l:int>>").alias("out"))
+
+    def step(acc: Column, z: Column) -> Column:
+        free = ~z["s"]
+        take = z["s"] | (acc["n"] < z["room"])
+        one = F.array(F.struct(z["t"].cast("int").alias("t"), z["l"].cast("int").alias("l")))
+        return F.struct((acc["n"] + F.when(free, 1).otherwise(0)).alias("n"), F.when(take, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+
+    if not protected:
+        cut_ids, cut_labels = (F.slice(F.col(c), -max_length if strategy == "left" else 1, max_length) for c in (ids, labels))
+    else:
+        zipped = F.transform(F.arrays_zip(F.col(ids).alias("t"), F.col(labels).alias("l")), lambda z: F.struct(z["t"].alias("t"), z["l"].alias("l"), z["t"].isin(*protected).alias("s")))
+        with_room = let(room, lambda k: F.transform(zipped, lambda z: F.struct(z["t"].alias("t"), z["l"].alias("l"), z["s"].alias("s"), k.alias("room"))))
+        kept = F.aggregate(F.reverse(with_room) if strategy == "left" else with_room, start, step, lambda acc: acc["out"])
+        df = df.withColumn("__kept", F.reverse(kept) if strategy == "left" else kept)
+        cut_ids, cut_labels = F.transform("__kept", lambda z: z["t"]), F.transform("__kept", lambda z: z["l"])
+    long = n > max_length
+    return df.withColumns({ids: F.when(long, cut_ids).otherwise(F.col(ids)), labels: F.when(long, first(cut_labels)).otherwise(F.col(labels))}).drop("__kept")
 
 
 def lengths(df: DataFrame) -> Column:

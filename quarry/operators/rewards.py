@@ -13,6 +13,7 @@ from fractions import Fraction
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.arrays import key_value_scores, let, ngrams
 from quarry.functions.text import final_answer
@@ -193,7 +194,7 @@ def register_reward(name: str, reward: Reward, exist_ok: bool = False) -> None:
 
 def async_reward(df: DataFrame, score: Callable[[str], Awaitable[float]], text: str, name: str = "reward", at_once: int = 64) -> DataFrame:
     """Await score(text) for all rows, `at_once` at a time within a batch."""
-    schema = df.schema.add(name, "double")
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(parts):
         async def all_of(texts):

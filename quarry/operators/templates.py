@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -177,7 +178,6 @@ def scaled_parts(text: str, scale: dict[str, list[float]], weight: float = 1.0)
 
 def scale_responses(segs: Column, *names: str) -> Column:
     """Split responses by the named scales, one after the other; weights multiply."""
-    import pandas as pd
     from pyspark.sql.types import _parse_datatype_string
 
     scales = [LOSS_SCALES[n] for n in names]

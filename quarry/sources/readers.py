@@ -13,10 +13,6 @@ from quarry.operators import sampling as L
 from quarry.sources.catalog import CATALOG, Catalog, Dataset, Subset
 from quarry.sources.syntax import parse
 
-#: Field that marks a null in CSV, where an empty field is an empty text.
-CSV_NULL = "\\N"
-
-
 def read_file(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
     """Read a file or folder by its extension; CSV keeps empty fields as '' and all values as text; JSON may be an array."""
     kind = kind or path.rstrip("/").rsplit(".", 1)[-1].lower()
@@ -25,7 +21,7 @@ def read_file(spark: SparkSession, path: str, kind: str | None = None) -> DataFr
     if kind == "json":
         return spark.read.option("multiLine", True).json(path)
     if kind == "csv":
-        return spark.read.csv(path, header=True, multiLine=True, escape='"', nullValue=CSV_NULL, emptyValue="")
+        return spark.read.csv(path, header=True, multiLine=True, escape='"').na.fill("")
     if kind in ("txt", "text"):
         return spark.read.text(path)
     if kind in ("parquet", "orc"):

@@ -98,6 +98,12 @@ def normalize_answer(text: Column) -> Column:
     return F.array_join(F.transform(w, lambda t: F.coalesce(F.try_element_at(pairs, t), t)), " ")
 
 
+def vqa_accuracy(pred: Column, refs: Column) -> Column:
+    """Normalised equality with a single reference; of several, a third for each that is equal, 1 at most."""
+    hits = let(normalize_answer(pred), lambda p: F.size(F.filter(F.transform(refs, normalize_answer), lambda r: r == p)))
+    return F.when(F.size(refs) == 1, hits.cast("double")).otherwise(F.least(hits / 3, F.lit(1.0)))
+
+
 def first_yes_no(text: Column) -> Column:
     """'yes' or 'no', whichever stands first as a word; null without either."""
     hit = F.regexp_extract(F.lower(text), r"\b(yes|no)\b", 1)

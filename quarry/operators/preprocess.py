@@ -253,6 +253,13 @@ def tagged(df: DataFrame, dataset: str) -> DataFrame:
     return df.withColumn("dataset", F.lit(dataset))
 
 
+def loggable(df: DataFrame) -> DataFrame:
+    """Rows as they may be logged: bytes are marked, and texts in columns named after tokens are nulled."""
+    out = {c: F.when(F.col(c).isNotNull(), F.lit("<<<bytes>>>")) for c, t in df.dtypes if t == "binary"}
+    out |= {c: F.lit(None).cast("string") for c, t in df.dtypes if "_token" in c and t == "string"}
+    return df.withColumns(out) if out else df
+
+
 def auto_preprocess(df: DataFrame, columns: Mapping[str, str] | None = None) -> DataFrame:
     """Pick the preprocessor by the columns: conversations, instructions, or query and response."""
     df = rename_columns(df, columns or {})

@@ -198,6 +198,17 @@ def normalized_answer(spark, d):
     return table(spark, d, "documents").select("doc_id", T.normalize_answer(F.concat(F.lit("The TWO, "), "lang", F.lit("! a 3.5 "), "source", F.lit("."))).alias("s"))
 
 
+@query("t16_vqa_accuracy", "SELECT doc_id, round(CASE WHEN doc_id % 3 = 0 THEN CASE WHEN lang = 'en' THEN 1 ELSE 0 END ELSE least(1, CASE lang WHEN 'en' THEN 2 WHEN 'de' THEN 1 ELSE 0 END / 3) END, 6) AS acc FROM documents")
+def vqa_accuracy(spark, d):
+    refs = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("The EN!"))).otherwise(F.array(F.lit("en"), F.lit("De."), F.lit(" an en")))
+    return table(spark, d, "documents").select("doc_id", F.round(T.vqa_accuracy(F.col("lang"), refs), 6).alias("acc"))
+
+
+@query("p24_loggable", "SELECT doc_id, '<<<bytes>>>' AS raw, CAST(NULL AS VARCHAR) AS hub_token, lang FROM documents")
+def loggable(spark, d):
+    return P.loggable(table(spark, d, "documents").select("doc_id", F.col("text").cast("binary").alias("raw"), F.col("source").alias("hub_token"), "lang"))
+
+
 @query("t10_yes_no", "SELECT conv_id, turn, nullif(regexp_extract(lower(text), '\\b(yes|no|the)\\b', 1), '') AS s FROM conversations")
 def yes_no(spark, d):
     t = F.regexp_replace(F.lower("text"), r"\bthe\b", "yes")

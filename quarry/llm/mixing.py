@@ -158,10 +158,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row as often as it is drawn, with `shard` and `position`, in shuffled order within shards.
 
-    Sorting by (shard, position) gives the order in which each shard reads its rows.
+    Sorting by (shard, position) gives the order in which each shard reads its rows.  Columns of docs keep their
+    values; only those named shard or position are replaced.
     """
-    cols = docs.columns
-    out = mix(docs, **options).select(*cols, F.explode("draws").alias("__d"))
+    cols = [c for c in docs.columns if c not in ("shard", "position")]
+    aside = {c: f"__own_{c}" for c in cols if c in ("size", "source_size", "target", "taken", "draws")}
+    out = mix(docs.select(*cols).withColumnsRenamed(aside), **options).select(*[F.col(aside.get(c, c)).alias(c) for c in cols], F.explode("draws").alias("__d"))
     return out.select(*cols, F.col("__d.shard").alias("shard"), F.col("__d.position").alias("position"))
 
 

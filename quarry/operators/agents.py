@@ -1,4 +1,4 @@
-"""Agent formats: tools to prompts, tool results to turns and texts to calls."""
+"""Agent formats: tools to prompts, tool results to turns and texts to calls. Prompt texts and marks are fixed values."""
 
 from __future__ import annotations
 

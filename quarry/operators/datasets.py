@@ -1,6 +1,6 @@
 """Preparations of known dataset shapes, text and media: each takes the raw DataFrame and returns common columns.
 
-Random choices are picks by a hash of the row, so they repeat.  Media are checked against a listing of files
+Prompt texts are fixed values of the formats. Random choices are picks by a hash of the row, so they repeat.  Media are checked against a listing of files
 where one is given.
 """
 

@@ -153,10 +153,27 @@ def simplified(segs: Column) -> Column:
 
 
 #: Weights of the marks in responses, by pattern (one weight) or delimiter (mark and what follows).
+#: Entries of three numbers are neither, and weigh nothing.
 LOSS_SCALES: dict[str, dict[str, list[float]]] = {
     "react": {"Action:": [2.0, 2.0], "Action Input:": [2.0, 2.0], "Thought:": [1.0, 1.0], "Final Answer:": [1.0, 1.0], "Observation:": [2.0, 0.0]},
+    "alpha_umi": {"Action:": [2.0, 2.0], "Action Input:": [2.0, 2.0], "Thought:": [1.0, 1.0], "Final Answer:": [1.0, 1.0], "Observation:": [2.0, 0.0], "Next:": [2, 0, 2.0]},
+    "agentflan": {
+        "Name:": [1.0, 3.0], "Action:": [1.0, 3.0], "ACTION:": [1.0, 3.0], "Tool:": [1.0, 3.0], "Command": [1.0, 3.0], "Arguments:": [1.0, 3.0], "action input": [1.0, 3.0],
+        "ACTION_INPUT:": [1.0, 3.0], "Action Input:": [1.0, 3.0], "Thought:": [1.0, 1.0], "Final Answer:": [1.0, 1.0], "Observation:": [2.0, 0.0],
+    },
+    "qwen": {"✿FUNCTION✿:": [2.0, 2.0], "✿ARGS✿:": [2.0, 2.0], "✿RETURN✿:": [1.0, 1.0], "✿RESULT✿:": [2.0, 0.0]},
     "hermes": {"<tool_call>.+?</tool_call>": [2.0]},
-    "ignore_empty_think": {r"<think>\s*</think>\s*": [0.0]},
+    "ignore_empty_think": {
+        r"^<think>\s*</think>\s*": [0.0],
+        r"^<seed:think><seed:cot_budget_reflect>The current thinking budget is 0, so I will directly start answering the question.</seed:cot_budget_reflect>\n</seed:think>\s*": [0.0],
+        r"^</think>\s*": [0.0],
+        r"^<\|channel>thought\n<channel\|>": [0.0],
+        r"^</mm:think>\s*": [0.0],
+    },
+}
+#: Texts in a query that set the weight of the whole response.
+QUERY_SCALES: dict[str, dict[str, float]] = {
+    "agentflan": {"What is the tool you want to use": 3.0, "What are the required parameter names": 3.0, "What is the value of": 3.0, "What are the required parameter names for this tool": 3.0},
 }
 
 
@@ -180,17 +197,20 @@ def scale_responses(segs: Column, *names: str) -> Column:
     """Split responses by the named scales, one after the other; weights multiply."""
     from pyspark.sql.types import _parse_datatype_string
 
-    scales = [LOSS_SCALES[n] for n in names]
+    scales = [(LOSS_SCALES[n], QUERY_SCALES.get(n, {})) for n in names]
 
     @F.pandas_udf(_parse_datatype_string(SEGMENTS))
     def run(rows: pd.Series) -> pd.Series:
         def one(segs):
-            out = []
+            out, query = [], ""
             for s in segs:
                 parts = [(s["text"], s["weight"])]
+                if s["kind"] == "prompt":
+                    query = s["text"]
                 if s["kind"] == "response":
-                    for scale in scales:
-                        parts = [x for t, w in parts for x in scaled_parts(t, scale, w)]
+                    for scale, asked in scales:
+                        whole = next((w for k, w in asked.items() if k in query), None)
+                        parts = [x for t, w in parts for x in ([(t, w * whole)] if whole is not None else scaled_parts(t, scale, w))]
                 out += [{"text": t, "kind": s["kind"], "weight": w} for t, w in parts]
             return out
 

@@ -178,19 +178,21 @@ def rotate_in_batches(df: DataFrame, order: str, value: str, batch: int, name: s
     return out.withColumn(name, F.coalesce(F.lag(value).over(w), F.last(value).over(whole))).drop("__run")
 
 
-def ordinal(df: DataFrame, *order: str | Column, name: str = "ordinal", buckets: int = 64) -> DataFrame:
+def ordinal(df: DataFrame, *order: str | Column, name: str = "ordinal", buckets: int | None = None) -> DataFrame:
     """0-based numbers in the given total order, without putting all rows in one task.
 
-    Rows are dealt to ranges of the order; each range counts its rows, and a row's number is its place in its
-    range plus the rows of the ranges before.
+    Rows are dealt to ranges of the order (as many as shuffle partitions); each range counts its rows, and a row's
+    number is its place in its range plus the rows of the ranges before. Only those counts, one for each range, meet.
     """
     from pyspark.sql import Window
 
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartitionByRange(buckets, *cols).withColumn("__p", F.spark_partition_id())
     ranked = dealt.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*cols)))
     sizes = ranked.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.__p") < F.col("a.__p"), "left").groupBy(F.col("a.__p").alias("__p")).agg(F.coalesce(F.sum("b.__n"), F.lit(0)).alias("__before"))
+    upto = Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("__p", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"))
     return ranked.join(F.broadcast(before), "__p").withColumn(name, F.col("__before") + F.col("__i") - 1).drop("__p", "__i", "__before")
 
 

@@ -20,7 +20,6 @@ unless all ids of it are null.  Repeated rows are members of one class.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import exchange as X
-from quarry.llm.cluster import BATCH, checkpointed, in_batches
+from quarry.llm.cluster import BATCH, checkpointed, in_batches, text_bytes
 from quarry.llm.components import Forest, components
 from quarry.llm.textblocks import U64, blocks, lower, mix, rows_of, span_hashes, whole_windows, window_hashes, words
 
@@ -55,20 +54,36 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int = SHINGLE) -> list[n
     keys = window_hashes(h, k)[at]
     cut = np.searchsorted(rows_of(first, at), np.arange(len(first)))
     count = np.diff(first)
+    for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        keys[x:y].sort()
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    fresh[cut[:-1][cut[:-1] < len(keys)]] = True
+    upto = np.concatenate([[0], np.cumsum(fresh)])[cut].tolist()
+    keys = keys[fresh]
     short = {n: window_hashes(h, n) for n in range(1, k)}
     out = []
-    for r in range(len(first) - 1):
-        n = int(count[r])
+    for r, n in enumerate(count.tolist()):
         if n >= k:
-            out.append(np.unique(keys[cut[r] : cut[r + 1]]))
+            out.append(keys[upto[r] : upto[r + 1]])
         else:
             out.append(mix(short[n][first[r] : first[r] + 1] ^ U64(n)) if n else np.zeros(0, U64))
     return out
 
 
-def _set_hash(s: np.ndarray) -> tuple[int, int]:
-    a, b = mix(s), mix(s ^ U64(0x8CB92BA72F3D8DD7))
-    return int(mix(np.array([a.sum() + U64(len(s))]))[0].view(np.int64)), int(mix(np.array([b.sum() ^ U64(len(s))]))[0].view(np.int64))
+def set_hashes(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Two 64-bit hashes of each set; equal for equal sets."""
+    size = np.array([len(s) for s in sets], np.int64)
+    full = np.flatnonzero(size)
+    out = []
+    every = np.concatenate(sets) if len(full) else np.zeros(0, U64)
+    begin = np.concatenate([[0], np.cumsum(size[full])[:-1]]).astype(np.int64) if len(full) else full
+    for salt in (0, 0x8CB92BA72F3D8DD7):
+        h = size.astype(U64)
+        if len(full):
+            h[full] ^= np.add.reduceat(mix(every ^ U64(salt)), begin)
+        out.append(mix(h ^ U64(salt)).view(np.int64).tolist())
+    return out[0], out[1]
 
 
 def needed(n: np.ndarray | int, percent: int = PERCENT):
@@ -85,13 +100,14 @@ def classes(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
         for batch in batches:
             n, a, b, first = [], [], [], []
             for _, data, offs in blocks(batch.column(1)):
-                for s in shingle_sets(data, offs, k):
-                    h = _set_hash(s)
+                sets = shingle_sets(data, offs, k)
+                h1, h2 = set_hashes(sets)
+                for s, h in zip(sets, zip(h1, h2, strict=True), strict=True):
                     n.append(len(s))
-                    a.append(h[0])
-                    b.append(h[1])
                     first.append(len(s) > 0 and h not in seen)
                     seen.add(h)
+                a += h1
+                b += h2
             if len(seen) > SEEN:
                 seen.clear()
             texts = pa.compute.if_else(pa.array(first, pa.bool_()), batch.column(1), pa.scalar(None, batch.column(1).type))
@@ -115,9 +131,11 @@ def _batch_sets(table: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray]]:
             row += 1
 
 
-def candidates(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """CANDIDATE rows: classes that share a prefix token with another class, with all tokens and those prefix tokens."""
-    total = int(rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
+def candidates(rows: DataFrame, total: int, k: int, percent: int) -> DataFrame:
+    """CANDIDATE rows: classes that share a prefix token with another class, with all tokens and those prefix tokens.
+
+    total: bytes of text at most, for the number of batches.
+    """
     batches, n = in_batches(rows, ["h1"], total)
 
     def send(table: pa.Table) -> pa.Table:
@@ -126,10 +144,13 @@ def candidates(rows: DataFrame, k: int, percent: int) -> DataFrame:
 
     def pick(table: pa.Table, totals: np.ndarray) -> pa.Table:
         sets = list(_batch_sets(table, k))
-        every = np.unique(np.concatenate([s for _, s in sets]))
+        flat = np.concatenate([s for _, s in sets])
+        order = np.argsort(flat)
+        ranked = flat[order]
+        counts = np.empty(len(flat), totals.dtype)
+        counts[order] = totals[np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]))]
         out: list[tuple[int, int, bytes, bytes]] = []
-        for i, s in sets:
-            df = totals[np.searchsorted(every, s)]
+        for (i, s), df in zip(sets, np.split(counts, np.cumsum([len(s) for _, s in sets])[:-1]), strict=True):
             p = len(s) - int(needed(len(s), percent)) + 1
             if int((df == 1).sum()) >= p:
                 continue
@@ -306,7 +327,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     if not 0 < percent <= 100:
         raise ValueError("percent must be above 0 and at most 100")
     rows = classes(docs, doc_id, text, k)
-    cand = candidates(rows.where("text IS NOT NULL AND n > 0").select("h1", "h2", "text"), k, percent)
+    cand = candidates(rows.where("text IS NOT NULL AND n > 0").select("h1", "h2", "text"), text_bytes(docs, text), k, percent)
     groups = components(candidate_edges(cand, percent))
     comp = components(group_links(cand, groups, percent))
     slim = rows.select("doc_id", "n", "h1", "h2")

@@ -13,7 +13,6 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quarry.llm.cluster import BATCH
 from quarry.llm.textblocks import U64
@@ -84,6 +83,3 @@ def key_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def batch_of(table: pa.Table) -> int:
     return table[BATCH][0].as_py()
-
-
-__all__ = ["ANSWERED", "BATCH", "F", "SENT", "answers", "batch_of", "key_counts", "sent", "told", "totals_of"]

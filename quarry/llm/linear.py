@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.textblocks import U64, blocks, lower, mix, span_hashes, window_hashes
 
-#: Labelled rows that a classifier is fitted on at most (those of least hash).
-SAMPLE_ROWS = 8192
+#: Labelled rows that a classifier is fitted on at most, half of each label (those of least hash).
+SAMPLE_ROWS = 4096
 _CLASS = np.full(256, 2, np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
 _CLASS[48:58] = _CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = 1
@@ -71,7 +71,7 @@ def ngram_features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 #: Bytes of the word beginnings that word_features() adds.
-PREFIXES = (3, 4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 
 
 def word_features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,15 +153,37 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, on
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, folds: int, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
     """(doc_id, label double, text) of at most `rows` labelled texts whose crc32(doc_id) mod folds is not `fold`.
 
-    The rows of least hash of the doc_id are taken from the labels; of several labels of one document the largest.
+    Of each label, 0 and 1, the rows of least hash of the doc_id are taken, at most half of `rows`; of several
+    labels of one document the largest counts.
     """
-    train = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", fold, folds))
-    least = train.groupBy(F.col("doc_id").alias("__id")).agg(F.max(F.col(label).cast("double")).alias("label")).orderBy(F.xxhash64(F.lit(11), "__id"), "__id").limit(rows)
+    train = training_labels(labels, label, fold, folds)
+    half = [train.where(F.col("label") == y).orderBy(F.xxhash64(F.lit(11), "__id"), "__id").limit(rows // 2) for y in (0.0, 1.0)]
+    least = half[0].union(half[1])
     # One text for each id, so that repeated rows do not lift the bound.
     met = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(least, "__id")
     return met.groupBy("__id").agg(F.first("label").alias("label"), F.min("__text").alias("text")).withColumnRenamed("__id", "doc_id")
 
 
+def training_labels(labels: DataFrame, label: str, fold: int, folds: int) -> DataFrame:
+    """(__id, label double) of the documents labelled outside of the fold."""
+    train = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", fold, folds))
+    return train.groupBy(F.col("doc_id").alias("__id")).agg(F.max(F.col(label).cast("double")).alias("label"))
+
+
+def class_share(labels: DataFrame, label: str, fold: int, folds: int) -> float:
+    """Share of label 1 among all training labels, kept away from 0 and 1."""
+    r = training_labels(labels, label, fold, folds).agg(F.sum("label").alias("n"), F.count(F.lit(1)).alias("all")).first()
+    return (float(r["n"] or 0) + 1) / (r["all"] + 2)
+
+
+def for_share(model: Model, target: np.ndarray, share: float) -> Model:
+    """The model of a sample with other shares of the labels, moved to the given share of label 1."""
+    if not len(target):
+        return model
+    own = (float(target.sum()) + 1) / (len(target) + 2)
+    return Model(model.keys, model.weights, model.bias + float(np.log(share / (1 - share)) - np.log(own / (1 - own))), model.once)
+
+
 def held_out(doc_id: str, fold: int, folds: int):
     """crc32 of the id as text modulo folds equals fold; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
@@ -182,14 +204,15 @@ def sample_features(sample: DataFrame, features: Features, once: bool) -> tuple[
                 cut = np.searchsorted(row, np.arange(len(offs)))
                 for a, b in zip(cut[:-1], cut[1:], strict=True):
                     k, at = np.unique(key[a:b], return_index=True)
-                    v = np.ones(len(k)) if once else np.add.reduceat(value[a:b], at) if len(k) else np.zeros(0)
+                    v = np.zeros(0) if once or not len(k) else np.add.reduceat(value[a:b], at)
                     keys.append(k.tobytes())
                     vals.append(v.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([ids, ys, pa.array(keys, pa.binary()), pa.array(vals, pa.binary())], names=["doc_id", "label", "keys", "vals"])
 
     got = sample.select("doc_id", "label", "text").mapInArrow(run, schema).toArrow().sort_by("doc_id")
-    feats = [(np.frombuffer(k, U64), np.frombuffer(v, np.float32).astype(float)) for k, v in zip(got["keys"].to_pylist(), got["vals"].to_pylist(), strict=True)]
-    return np.array(got["doc_id"].to_pylist(), object), np.array(got["label"].to_pylist(), float), feats
+    keys = [np.frombuffer(k.as_buffer(), U64) for k in got["keys"]]
+    vals = [np.broadcast_to(1.0, len(k)) for k in keys] if once else [np.frombuffer(v.as_buffer(), np.float32) for v in got["vals"]]
+    return np.array(got["doc_id"].to_pylist(), object), np.array(got["label"].to_pylist(), float), list(zip(keys, vals, strict=True))
 
 
 def score(docs: DataFrame, model: Model, features: Features, text: str = "text", name: str = "score") -> DataFrame:

@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.linear import Model, held_out, labelled_sample, ngram_features, sample_features, score, train_ftrl
+from quarry.llm.linear import Model, class_share, for_share, held_out, labelled_sample, ngram_features, sample_features, score, train_ftrl
 
 FOLD, FOLDS = 1, 3
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: int = FOLD, folds: int = FOLDS) -> Model:
     _, y, rows = sample_features(labelled_sample(docs, labels, label, fold, folds), ngram_features, once=False)
-    return train_ftrl(rows, y, alpha=3.0, l1=0.003, l2=0.003)
+    return for_share(train_ftrl(rows, y, alpha=3.0, l1=0.003, l2=0.003), y, class_share(labels, label, fold, folds))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: int = FOLD, folds: int = FOLDS) -> DataFrame:

@@ -14,7 +14,6 @@ than WINDOW words lose nothing.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import exchange as X
 from quarry.llm.cluster import BATCH, in_batches, text_bytes
-from quarry.llm.textblocks import BASES, U64, blocks, mix, rows_of, span_hashes, whole_windows, window_hashes, words
+from quarry.llm.textblocks import BASES, U64, blocks, rows_of, span_hashes, whole_windows, window_hashes, words
 
 WINDOW = 35
 #: A perfect difference set: all differences modulo 21 occur. Fixed values.

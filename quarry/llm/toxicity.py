@@ -1,8 +1,9 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier on posterior labels.
 
-1. Voters.  A public list of insults and a few patterns vote without any label.  Further lexicons are mined from
-   a bounded sample of labelled training rows: words and word beginnings far more frequent in toxic texts, dealt
-   to LEXICONS disjoint lists by their hash.  The label of a training row is one more voter.
+1. Voters.  A public list of insults and a few patterns vote without any label.  Further lexicons are mined:
+   candidates are words and word beginnings of a bounded sample of labelled training rows, and those stay that are
+   far more frequent in toxic than in clean texts over all training rows; they are dealt to LEXICONS disjoint lists
+   by their hash.  The label of a training row is one more voter.
 2. Label model.  The votes of *all* texts are counted by pattern (at most 2**voters rows).  Expectation
    maximisation estimates the class prior and, for each voter, how often it fires in either class.  Correlations
    between voters given the class are estimated from the same counts, and the evidence of a voter is divided by
@@ -20,11 +21,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from quarry.llm.linear import Model, held_out, labelled_sample, sample_features, score, train_ftrl, word_features
+from quarry.llm.cluster import checkpointed
+from quarry.llm.linear import Model, class_share, for_share, held_out, labelled_sample, sample_features, score, train_ftrl, training_labels, word_features
 from quarry.llm.textblocks import U64, blocks, span_hashes
 
 FOLD, FOLDS = 2, 4
@@ -46,25 +50,36 @@ _ODDS_ROUNDS = 40
 
 @dataclass(frozen=True)
 class LabelModel:
-    """prior of class 1; fires[j] = (P(vote j | class 0), P(vote j | class 1)); damp[j] divides the evidence of voter j."""
+    """prior of class 1; fires[j] = (P(vote j | class 0), P(vote j | class 1)); damp[j] divides the evidence of voter j.
+
+    denies[j]: weight of not voting as evidence against class 1. The mined lists are parts of one lexicon, and texts
+    often hold words of one part only, so their silence counts as that of one voter.
+    """
 
     prior: float
     fires: np.ndarray
     damp: np.ndarray
+    denies: np.ndarray
 
     def posterior(self, votes: np.ndarray, known: np.ndarray) -> np.ndarray:
         """Probability of class 1. votes: rows of 0/1; known: which voters had a say (the label voter may be absent)."""
         f0, f1 = self.fires[:, 0], self.fires[:, 1]
         on, off = np.log(f1 / f0), np.log((1 - f1) / (1 - f0))
-        evidence = np.where(known, np.where(votes == 1, on, off), 0.0) / self.damp
+        evidence = np.where(known, np.where(votes == 1, on, off * self.denies), 0.0) / self.damp
         return 1.0 / (1.0 + np.exp(-np.clip(np.log(self.prior / (1 - self.prior)) + evidence.sum(1), -40, 40)))
 
 
-def fit_label_model(votes: np.ndarray, known: np.ndarray, counts: np.ndarray, start: np.ndarray) -> LabelModel:
-    """EM over vote patterns. start: first guess of P(class 1) of each pattern, which also fixes which class is which."""
+def fit_label_model(votes: np.ndarray, known: np.ndarray, counts: np.ndarray, start: np.ndarray, denies: np.ndarray | None = None, fixed: np.ndarray | None = None) -> LabelModel:
+    """EM over vote patterns. start: first guess of P(class 1) of each pattern, which also fixes which class is which.
+
+    fixed: patterns that keep their first guess in every round (those of labelled texts), so that the labels anchor the classes.
+    """
+    k = votes.shape[1]
+    denies = np.ones(k) if denies is None else denies
+    fixed = np.zeros(len(votes), bool) if fixed is None else fixed
+    anchors = (denies == 1.0) & fixed.any()  # the label voter is no lexicon that others could repeat
     if not len(counts) or counts.sum() == 0:
-        k = votes.shape[1]
-        return LabelModel(0.1, np.tile([0.1, 0.5], (k, 1)), np.ones(k))
+        return LabelModel(0.1, np.tile([0.1, 0.5], (k, 1)), np.ones(k), denies)
     post, weight = start.astype(float), counts.astype(float)
     model, damp = None, np.ones(votes.shape[1])
     for turn in range(_ODDS_ROUNDS):
@@ -74,11 +89,12 @@ def fit_label_model(votes: np.ndarray, known: np.ndarray, counts: np.ndarray, st
             fires[:, c] = ((m * votes).sum(0) + 0.5 * (1 + c)) / (m.sum(0) + 2.0 + c)
         fires[:, 1] = np.maximum(fires[:, 1], fires[:, 0] * 1.05).clip(1e-4, 1 - 1e-4)  # voters vote for class 1
         fires[:, 0] = fires[:, 0].clip(1e-5, 0.95 * fires[:, 1])
-        prior = float(np.clip((weight * post).sum() / weight.sum(), 1e-3, 0.9))
+        base = fixed if fixed.any() else np.ones(len(post), bool)  # the labels tell the prior where there are any
+        prior = float(np.clip((weight * post)[base].sum() / weight[base].sum(), 1e-3, 0.5))
         if turn in (5, 15):
-            damp = _damping(votes, known, weight, post)
-        model = LabelModel(prior, fires, damp)
-        post = model.posterior(votes, known)
+            damp = np.where(anchors, 1.0, _damping(votes, known, weight, post))
+        model = LabelModel(prior, fires, damp, denies)
+        post = np.where(fixed, start, model.posterior(votes, known))
     return model
 
 
@@ -98,50 +114,77 @@ def _damping(votes: np.ndarray, known: np.ndarray, weight: np.ndarray, post: np.
     return 1.0 + np.minimum(total, 0.9).sum(1)
 
 
-def mine_lexicon(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
-    """Keys that at least MINED_TEXTS toxic texts hold and whose log odds reach MINED_LOG_ODDS."""
+def lexicon_candidates(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
+    """Keys that at least MINED_TEXTS toxic texts of the sample hold and that are more frequent there than in its clean texts."""
     pos = [k for (k, _), t in zip(rows, y, strict=True) if t >= 0.5]
     neg = [k for (k, _), t in zip(rows, y, strict=True) if t < 0.5]
     if not pos or not neg:
         return np.zeros(0, U64)
     keys, n = np.unique(np.concatenate(pos), return_counts=True)
-    other, m = np.unique(np.concatenate(neg), return_counts=True)
-    at = np.minimum(np.searchsorted(other, keys), len(other) - 1)
-    clean = np.where(other[at] == keys, m[at], 0)
-    odds = np.log((n + 0.1) / (len(pos) - n + 0.1)) - np.log((clean + 0.1) / (len(neg) - clean + 0.1))
-    return keys[(n >= MINED_TEXTS) & (odds >= MINED_LOG_ODDS)]
-
-
-def _insult_keys() -> np.ndarray:
-    raw = [w.encode() for w in INSULTS]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    ends = np.cumsum([len(w) for w in raw])
-    return np.sort(span_hashes(data, ends - [len(w) for w in raw], ends))
+    keys, n = keys[n >= MINED_TEXTS], n[n >= MINED_TEXTS]
+    other = np.concatenate(neg)
+    other, m = np.unique(other[np.isin(other, keys)], return_counts=True)
+    at = np.minimum(np.searchsorted(other, keys), max(len(other) - 1, 0))
+    clean = np.where(other[at] == keys, m[at], 0) if len(other) else np.zeros(len(keys))
+    return keys[n / len(pos) > 4 * clean / len(neg)]
 
 
-def lexicon_votes(docs: DataFrame, lexicons: list[np.ndarray], keep: list[str], text: str = "text") -> DataFrame:
-    """Columns `keep`, then votes int: bit j is set where the text holds a key of lexicon j, and bits of the patterns above."""
-    shared = docs.sparkSession.sparkContext.broadcast([np.sort(x) for x in lexicons])  # from a bounded sample
-    kept = docs.select(*keep)
+def key_hits(docs: DataFrame, keys: np.ndarray, text: str = "text") -> DataFrame:
+    """(doc_id, hits array<int>, bits int): which of the sorted keys each whole text holds, and a bit for each pattern that it matches."""
+    shared = docs.sparkSession.sparkContext.broadcast(keys)  # from a bounded sample
     body = F.coalesce(F.col(text), F.lit(""))
-    bits = sum((F.when(body.rlike(p), 1 << (len(lexicons) + i)).otherwise(0) for i, p in enumerate(PATTERNS.values())), F.lit(0))
-    schema = kept.schema.add("votes", "integer")
+    bits = sum((F.when(body.rlike(p), 1 << i).otherwise(0) for i, p in enumerate(PATTERNS.values())), F.lit(0))
+    schema = docs.select("doc_id").schema.add("hits", ArrayType(IntegerType())).add("bits", IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = shared.value
+        wide = len(keys) + 1
         for batch in batches:
-            got = [np.zeros(0, np.int32)]
-            for _, data, offs in blocks(batch.column(batch.num_columns - 2)):
+            parts, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for _, data, offs in blocks(batch.column(1)):
                 row, key, _ = word_features(data, offs)
-                v = np.zeros(len(offs) - 1, np.int32)
-                for j, lex in enumerate(shared.value):
-                    if len(lex):
-                        at = np.minimum(np.searchsorted(lex, key), len(lex) - 1)
-                        v[row[lex[at] == key]] |= 1 << j
-                got.append(v)
-            votes = np.concatenate(got) | batch.column(batch.num_columns - 1).to_numpy()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(votes.astype(np.int32))], names=schema.names)
+                at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+                ok = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+                both = np.unique(row[ok].astype(np.int64) * wide + at[ok])
+                parts.append(both % wide)
+                sizes.append(np.bincount(both // wide, minlength=len(offs) - 1))
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+            hits = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), hits, batch.column(2)], names=schema.names)
+
+    return docs.select("doc_id", F.col(text).alias("__text"), bits.cast("int").alias("bits")).mapInArrow(run, schema)
+
 
-    return docs.select(*keep, F.col(text).alias("__text"), bits.cast("int").alias("__bits")).mapInArrow(run, schema)
+def mined_keys(hits: DataFrame, train: DataFrame, candidates: int) -> np.ndarray:
+    """Numbers of the candidates whose log odds reach MINED_LOG_ODDS over all texts with a training label, train (doc_id, __y)."""
+    counts = np.zeros((2, candidates))
+    found = hits.where(F.size("hits") > 0).join(train, "doc_id").select(F.explode("hits").alias("i"), (F.col("__y") > 0.5).cast("int").alias("y"))
+    for r in found.groupBy("i", "y").count().collect():
+        counts[r["y"], r["i"]] = r["count"]
+    size = {r["y"]: r["count"] for r in train.groupBy((F.col("__y") > 0.5).cast("int").alias("y")).count().collect()}
+    n1, n0 = size.get(1, 0), size.get(0, 0)
+    odds = np.log((counts[1] + 0.1) / np.maximum(n1 - counts[1] + 0.1, 0.1)) - np.log((counts[0] + 0.1) / np.maximum(n0 - counts[0] + 0.1, 0.1))
+    return np.flatnonzero((counts[1] >= MINED_TEXTS) & (odds >= MINED_LOG_ODDS) & (counts[1] > counts[0]))
+
+
+def votes_of(hits: DataFrame, voter: np.ndarray, lexicons: int) -> DataFrame:
+    """Append `votes` int: bit voter[i] for each hit i (none where voter[i] is negative), and the pattern bits above the lexicons."""
+    shared = hits.sparkSession.sparkContext.broadcast(np.where(voter >= 0, 1 << np.maximum(voter, 0), 0))
+
+    @F.pandas_udf("int")
+    def run(rows: pd.Series, bits: pd.Series) -> pd.Series:
+        bit = shared.value
+        own = [int(np.bitwise_or.reduce(bit[np.asarray(h, np.int64)])) if len(h) else 0 for h in rows]
+        return pd.Series(np.array(own, np.int64) | (bits.to_numpy(np.int64) << lexicons)).astype("int32")
+
+    return hits.withColumn("votes", run("hits", "bits"))
+
+
+def _insult_keys() -> np.ndarray:
+    raw = [w.encode() for w in INSULTS]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    ends = np.cumsum([len(w) for w in raw])
+    return np.sort(span_hashes(data, ends - [len(w) for w in raw], ends))
 
 
 def _unpacked(votes: np.ndarray, label: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,27 +198,34 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold:
     """The classifier and the label model."""
     sample = labelled_sample(docs, labels, label, fold, folds)
     ids, y, rows = sample_features(sample, word_features, once=True)
-    mined = mine_lexicon(rows, y)
-    lexicons = [_insult_keys(), *[mined[mined % U64(LEXICONS) == j] for j in range(LEXICONS)]]
-    n = len(lexicons) + len(PATTERNS)
-    train = labels.where(F.col(label).isNotNull() & ~held_out("doc_id", fold, folds)).groupBy("doc_id").agg(F.max(F.col(label).cast("double")).alias("__y"))
-    voted = lexicon_votes(docs, lexicons, ["doc_id"]).join(train, "doc_id", "left")
+    train = training_labels(labels, label, fold, folds).withColumnsRenamed({"__id": "doc_id", "label": "__y"})
+    found, insults = lexicon_candidates(rows, y), _insult_keys()
+    keys = np.unique(np.concatenate([found, insults]))
+    # One pass over all texts: which candidates each holds. Lexicons and votes follow from that.
+    hits = checkpointed(key_hits(docs, keys))
+    mined = mined_keys(hits, train, len(keys))
+    voter = np.full(len(keys), -1)
+    voter[mined] = 1 + (keys[mined] % U64(LEXICONS)).astype(int)
+    voter[np.isin(keys, insults)] = 0
+    n = 1 + LEXICONS + len(PATTERNS)
+    voted = votes_of(hits, voter, 1 + LEXICONS).join(train, "doc_id", "left")
     seen = voted.groupBy("votes", F.coalesce("__y", F.lit(-1.0)).alias("y")).count().collect()
     packed, given, counts = (np.array([r[i] for r in seen]) for i in range(3)) if seen else (np.zeros(0, int), np.zeros(0), np.zeros(0))
     given = np.where(given < 0, np.nan, given.astype(float))
     votes, known = _unpacked(packed.astype(np.int64), given, n)
     guess = np.where(np.isnan(given), np.where(votes[:, :n].sum(1) > 0, 0.9, 0.05), np.where(given > 0.5, 0.98, 0.02))
-    model = fit_label_model(votes, known, counts, guess)
+    model = fit_label_model(votes, known, counts, guess, np.append(np.full(n, 1 / n), 1.0), ~np.isnan(given))
     # The sample's own votes, from its features and patterns, give its posterior labels.
-    own = {r["doc_id"]: r["votes"] for r in lexicon_votes(sample, lexicons, ["doc_id"]).collect()}
+    own = {r["doc_id"]: r["votes"] for r in votes_of(key_hits(sample, keys), voter, 1 + LEXICONS).select("doc_id", "votes").collect()}
     packed = np.array([own[type(next(iter(own)))(i)] for i in ids], np.int64) if len(ids) else np.zeros(0, np.int64)
     target = model.posterior(*_unpacked(packed, y, n))
-    useful = np.unique(np.concatenate([mined, _insult_keys()]))
+    useful = keys[voter >= 0]
     slim = []
     for k, v in rows:
         hit = np.isin(k, useful, assume_unique=True)
         slim.append((k[hit], v[hit]))
-    return train_ftrl(slim, target, once=True, epochs=8, alpha=3.0, l1=0.02, l2=0.002), model
+    fitted = train_ftrl(slim, target, once=True, epochs=8, alpha=3.0, l1=0.02, l2=0.002)
+    return for_share(fitted, target, class_share(labels, label, fold, folds)), model
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int = FOLD, folds: int = FOLDS, threshold: float = THRESHOLD) -> DataFrame:

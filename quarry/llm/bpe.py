@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Distinct pieces that a worker keeps; beyond this number the cache starts anew.
-CACHE_PIECES = 300_000
+#: Distinct pieces that a task keeps; beyond this number the cache starts anew.
+CACHE_PIECES = 200_000
 #: Bytes from which a piece is merged by the heap.
 LONG_PIECE = 192
 #: Cells of one matrix.
@@ -179,7 +179,7 @@ class ByteBPE:
             out[names[i]] = self._merge_long(raw[i]).astype("<u4").tobytes()
         return out
 
-    def encode_batch(self, texts: list[str], limit: int = 1 << 21) -> Iterator[bytes]:
+    def encode_batch(self, texts: list[str], limit: int = 1 << 20) -> Iterator[bytes]:
         """Ids of each text, in order; about `limit` characters are split at once."""
         at = 0
         while at < len(texts):
@@ -230,6 +230,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
         bpe = tokenizer(path, pattern)
         for part in texts:
             yield pd.Series([np.frombuffer(x, "<u4").astype(np.int32) for x in bpe.encode_batch(part.fillna("").tolist())], dtype=object)
+        bpe.cache.clear()
 
     return docs.withColumn(ids, run(F.col(text)))
 
@@ -276,6 +277,7 @@ def round_trip(docs: DataFrame, keep: list[str], path: str | None = None, patter
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), flat))
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+        bpe.cache.clear()  # the worker goes on to other stages
 
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer single text forms a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 U64 = np.uint64
 _SPACE = np.zeros(256, bool)

@@ -4,9 +4,10 @@ Three kinds are secrets on their own (`assign`, `access`, `hex`).  A credential
 harmless alone: an access identifier, a secret string and an endpoint.  Parts are weak candidates; one is
 reported only if, within SCOPE characters, parts of every other role that its own role needs occur too.
 
-The join: every part gets the scope cell `start div SCOPE`; parts are first summed up per text, cell and role
-(the least start and the greatest end), so that cells of many parts meet as single rows, and each part then
-meets the summaries of its own and the two neighbouring cells.  No pair of parts is ever made.
+The join: every part gets the scope cells from `start div SCOPE` to `stop div SCOPE`, so that the cells of two
+parts within SCOPE are the same or neighbours somewhere; parts are first summed up per text, cell and role (the
+least start and the greatest end), so that cells of many parts meet as single rows, and each part then meets the
+summaries of its own and the two neighbouring cells of each of its cells.  No pair of parts is ever made.
 
 Texts are told apart by doc_id, length and two hashes; repeated rows share one key and get the same spans.
 Nulls count as empty texts and have no spans.  Positions are code points, ends exclusive.
@@ -82,7 +83,7 @@ def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sc
     role = F.when(F.col("rank") == rank["access"], F.lit("ident")).when(F.col("rank") == rank["assign"], F.lit("opaque"))
     for k in PARTS:
         role = role.when(F.col("rank") == rank[k], F.lit(k))
-    parts = parts.withColumns({"role": role, "cell": F.floor(F.col("start") / scope)})
+    parts = parts.withColumns({"role": role, "cell": F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor(F.col("stop") / scope)))})
 
     # One row for each text and cell: what is in it, role by role.
     sums = [agg for k in PARTS for agg in (F.min(F.when(F.col("role") == k, F.col("start"))).alias(f"{k}_first"), F.max(F.when(F.col("role") == k, F.col("stop"))).alias(f"{k}_last"))]
@@ -99,14 +100,16 @@ def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sc
     def by(k: str) -> Column:
         return F.col(f"{k}_here") | F.coalesce(F.col(f"{k}_next") - F.col("stop") <= scope, F.lit(False)) | F.coalesce(F.col("start") - F.col(f"{k}_prev") <= scope, F.lit(False))
 
+    # A part of several cells may have one neighbour by its first cell and another by its last.
+    met = joined.groupBy("__key", "start", "rank", "stop", "role").agg(*[F.bool_or(by(k)).alias(k) for k in PARTS])
     keep = F.lit(False)
     for k, sets in NEEDS.items():
         for needed in sets:
             found = F.col("role") == k
             for other in needed:
-                found = found & by(other)
+                found = found & F.col(other)
             keep = keep | found
-    linked = joined.where(keep).groupBy("__key").agg(F.collect_set(F.struct("start", "rank", "stop")).alias("__linked"))
+    linked = met.where(keep).groupBy("__key").agg(F.collect_set(F.struct("start", "rank", "stop")).alias("__linked"))
     none = F.array().cast("array<struct<start:int,rank:int,stop:int>>")
     # Texts without any part need no join.
     alone = seen.where(F.size("__weak") == 0).withColumn("__linked", none)

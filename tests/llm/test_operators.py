@@ -245,6 +245,31 @@ def test_secrets(spark, docs, rows):
     assert extra[6] == extra[7] == extra[8] == ""
 
 
+def linked_spans(text):
+    """Parts that are reported, by the distance of every pair."""
+    parts = [(m.start(), m.end(), k) for k, p in secrets.PARTS.items() for m in re.finditer(p, text, re.A)]
+    near = lambda a, k: any(k == b[2] and max(a[0] - b[1], b[0] - a[1]) <= secrets.SCOPE for b in parts)
+    return {f"{a[2]}:{a[0]}:{a[1]}" for a in parts if any(all(near(a, k) for k in needed) for needed in secrets.NEEDS[a[2]])}
+
+
+def test_links_match_brute_force(spark):
+    ident, key, url = "ASIAABCDEFGHIJKL", "aB3" + "dEfGhIjKlMnOpQrSt", "https://db/"
+    texts = []
+    for at, gap in itertools.product(range(0, secrets.SCOPE, 3), [1, 240, 281, 299, 300, 301]):
+        for size in [20, 21, 40, 299, 300, 301, 600, 901]:
+            long = key + "x" * (size - len(key))
+            texts += ["." * at + a + " " * gap + b for a, b in ((long, ident), (ident, long))]
+            texts.append("." * at + ident + " " * gap + url + "x" * size + " " * (at + 1) + key)
+    for at, gap in itertools.product(range(secrets.SCOPE), [261, 300, 301]):
+        texts.append("." * at + key + " " * gap + ident)
+    texts.append("." * 298 + " " + key + "x" * 20 + " " * 261 + ident)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: set(filter(None, r.spans.split(","))) for r in secrets.scan(df, ["doc_id"]).collect()}
+    want = {i: linked_spans(t) for i, t in enumerate(texts)}
+    assert any(want.values()) and not all(want.values())
+    assert [texts[i] for i in want if got[i] != want[i]] == []
+
+
 def test_redaction(spark, docs, empty):
     df = spark.createDataFrame([(1, "x token = 'abcdef123' y", 7), (2, None, 8), (3, "clean", 9)], "doc_id long, text string, spans long")
     out = {r.doc_id: r for r in secrets.redact(df).collect()}

@@ -6,10 +6,10 @@ of each token within its class.  The latter is the smoothed unigram probability
 divided by the class's share of unigram mass, so the score equals the unigram score plus the log likelihood
 ratio of the class sequence.  The model is a proper distribution over texts up to the one unknown type of the base.
 
-Training: Baum-Welch.  Each partition runs the scaled forward-backward recursion over its training texts, cut
-into runs of at most RUN tokens so that runs of one length go through numpy together, and sends expected counts;
-they are summed by Spark, cell by cell, so the driver holds STATES * (STATES + CLASSES) numbers whatever the
-corpus.  Every training text takes part in every iteration.  Scoring runs the exact forward recursion over each
+Training: Baum-Welch.  Each partition runs the scaled forward-backward recursion over its whole training texts,
+those of an Arrow batch going through numpy together in stretches of about CELLS tokens, and sends expected
+counts; they are summed by Spark, cell by cell, so the driver holds STATES * (STATES + CLASSES) numbers whatever
+the corpus.  Every training text takes part in every iteration.  Scoring runs the exact forward recursion over each
 whole text.
 
 Token counts go through exchange.py: a batch sends its distinct tokens with local training counts and is told the
@@ -19,6 +19,7 @@ as often as they occur.  Without training texts the class model is uniform.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,8 @@ from quarry.llm.textblocks import U64, blocks, lower, span_hashes, words
 STATES = 8
 CLASSES = 512
 ITERATIONS = 3
-RUN = 64
+#: Tokens of a training stretch: all states of so many are held at once.
+CELLS = 1 << 18
 FOLD, FOLDS = 1, 5
 #: Key of the end token; word keys are other values with overwhelming likelihood.
 END = U64(0x2545F4914F6CDD1D)
@@ -60,6 +62,14 @@ def _with_end(values: np.ndarray, first: np.ndarray, end) -> tuple[np.ndarray, n
     return out, at
 
 
+def _steps(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places of texts, longest first, and how many texts have each step."""
+    length = np.diff(at)
+    order = np.argsort(-length, kind="stable")
+    top = int(length.max()) if len(length) else 0
+    return at[:-1][order], len(length) - np.searchsorted(np.sort(length), np.arange(top), "right")
+
+
 class Hmm:
     """start (S), move (S, S) and emit (S, C); rows sum to 1."""
 
@@ -75,28 +85,69 @@ class Hmm:
         return Hmm(np.full(states, 1 / states), move, emit / emit.sum(1, keepdims=True))
 
     def counts(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions of runs of one length, (runs, length), by scaled forward-backward."""
+        """Expected starts, moves and emissions of texts of one length, (texts, length)."""
         n, t = kinds.shape
+        return self.expected(kinds.ravel(), t * np.arange(n + 1))
+
+    def expected(self, kinds: np.ndarray, at: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected starts, moves and emissions of whole texts, kinds[at[r]:at[r + 1]], by scaled forward-backward.
+
+        Texts go together, longest first, one place a step. Steps are cut into stretches of about `cells` tokens: the
+        forward pass keeps its state before each stretch only, and the backward pass runs each stretch forward again.
+        """
         s, c = self.emit.shape
+        begin, live = _steps(at)
         seen = np.ascontiguousarray(self.emit.T)
-        alpha, scale = np.empty((t, n, s)), np.empty((t, n))
-        a = self.start * seen[kinds[:, 0]]
-        for i in range(t):
-            if i:
-                a = (alpha[i - 1] @ self.move) * seen[kinds[:, i]]
-            scale[i] = a.sum(1)
-            alpha[i] = a / scale[i][:, None]
-        move, emit = np.zeros((s, s)), np.zeros((c, s))
-        beta = np.ones((n, s))
-        for i in range(t - 1, -1, -1):
-            post = alpha[i] * beta
-            for k in range(s):
-                emit[:, k] += np.bincount(kinds[:, i], post[:, k], c)
-            if i:
-                w = seen[kinds[:, i]] * beta / scale[i][:, None]
-                move += alpha[i - 1].T @ w
-                beta = w @ self.move.T
-        return (alpha[0] * beta).sum(0), move * self.move, emit.T
+        start, move, emit = np.zeros(s), np.zeros((s, s)), np.zeros((c, s))
+        off = np.concatenate([[0], np.cumsum(live)])
+        cuts = [0]
+        while cuts[-1] < len(live):
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(off, off[cuts[-1]] + cells, "right")) - 1))
+
+        def forward(x: int, y: int, a: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            """Classes, their probabilities by state, alpha and scale at steps x to y, one below the other."""
+            n = live[x:y]
+            row = np.arange(off[y] - off[x]) - np.repeat(off[x:y] - off[x], n)
+            k = kinds[begin[row] + np.repeat(np.arange(x, y), n)]
+            e = seen[k]
+            alpha, scale = np.empty_like(e), np.empty((len(k), 1))
+            for i in range(x, y):
+                p, q = off[i] - off[x], off[i + 1] - off[x]
+                a = (a[: q - p] @ self.move if i else self.start) * e[p:q]
+                np.sum(a, axis=1, keepdims=True, out=scale[p:q])
+                a = np.divide(a, scale[p:q], out=alpha[p:q])
+            return k, e, alpha, scale
+
+        kept: list[np.ndarray | None] = [None]
+        for x, y in itertools.pairwise(cuts):
+            last = forward(x, y, kept[-1])
+            kept.append(last[2][off[y - 1] - off[x] :].copy())
+        beta = np.zeros((0, s))  # of the step after, before its emission: what the next loop hands back
+        for j in range(len(cuts) - 2, -1, -1):
+            x, y = cuts[j], cuts[j + 1]
+            k, e, alpha, scale = last if y == len(live) else forward(x, y, kept[j])
+            e /= scale
+            post = np.empty_like(alpha)
+            for i in range(y - 1, x - 1, -1):
+                p, q = off[i] - off[x], off[i + 1] - off[x]
+                b = post[p:q]  # beta first; texts that end here have 1
+                b[: len(beta)], b[len(beta) :] = beta, 1
+                w = np.multiply(e[p:q], b, out=e[p:q])
+                if i:
+                    beta = w @ self.move.T
+            # Moves into steps x to y, from the step before each.
+            n = live[x:y]
+            if x:
+                move += kept[j][: n[0]].T @ e[: n[0]]
+            if y - x > 1:
+                row = np.arange(n[0], len(k)) - np.repeat(off[x + 1 : y] - off[x], n[1:])
+                move += alpha[row + np.repeat(off[x : y - 1] - off[x], n[1:])].T @ e[n[0] :]
+            post *= alpha
+            if not x:
+                start = post[: n[0]].sum(0) if len(n) else start
+            for state in range(s):
+                emit[:, state] += np.bincount(k, post[:, state], c)
+        return start, move * self.move, emit.T
 
     @staticmethod
     def updated(start: np.ndarray, move: np.ndarray, emit: np.ndarray, share: np.ndarray) -> Hmm:
@@ -155,17 +206,14 @@ def baum_welch(train: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells)
         for batch in batches:
+            kinds, sizes = [np.zeros(0, np.int16)], [np.zeros(1, np.int64)]
             for _, data, offs in blocks(batch.column(0)):
                 _, _, first, kind = _tokens(lower(data), offs)
-                kinds, at = _with_end(kind, first, CLASSES - 1)
-                per = -(-np.diff(at) // RUN)
-                begin = np.repeat(at[:-1], per) + RUN * (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per))
-                size = np.minimum(RUN, np.repeat(at[1:], per) - begin)
-                for n in np.unique(size):
-                    b = begin[size == n]
-                    for x in range(0, len(b), 2048):
-                        got = shared.value.counts(kinds[b[x : x + 2048, None] + np.arange(n)])
-                        total += np.concatenate([y.ravel() for y in got])
+                k, at = _with_end(kind.astype(np.int16), first, CLASSES - 1)
+                kinds.append(k)
+                sizes.append(np.diff(at))
+            got = shared.value.expected(np.concatenate(kinds), np.cumsum(np.concatenate(sizes)))
+            total += np.concatenate([y.ravel() for y in got])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(cells)), pa.array(total)], names=["i", "n"])
 
     total = np.zeros(cells)

@@ -353,6 +353,49 @@ def test_counts_are_expectations():
     assert np.allclose(move, want) and start.sum() == pytest.approx(2) and emit.sum() == pytest.approx(6)
 
 
+def _expected(m, text):
+    """Starts, moves and emissions of one text by the plain recursion over all of it."""
+    s, c = m.emit.shape
+    alpha, beta = np.zeros((len(text), s)), np.ones((len(text), s))
+    for i, k in enumerate(text):
+        alpha[i] = (alpha[i - 1] @ m.move if i else m.start) * m.emit[:, k]
+        alpha[i] /= alpha[i].sum()
+    for i in range(len(text) - 2, -1, -1):
+        beta[i] = m.move @ (m.emit[:, text[i + 1]] * beta[i + 1])
+        beta[i] /= beta[i].sum()
+    post = alpha * beta / (alpha * beta).sum(1, keepdims=True)
+    move, emit = np.zeros((s, s)), np.zeros((s, c))
+    for i in range(1, len(text)):
+        x = alpha[i - 1][:, None] * m.move * m.emit[:, text[i]] * beta[i]
+        move += x / x.sum()
+    for k, p in zip(text, post, strict=True):
+        emit[:, k] += p
+    return post[0], move, emit
+
+
+@pytest.mark.parametrize("cells", [1, 7, 300, 1 << 18])
+def test_counts_of_whole_texts(cells):
+    rng = np.random.default_rng(5)
+    m, texts = _small_model(), [rng.integers(0, 4, n) for n in (1, 2, 300, 65, 64, 1, 129, 65)]
+    got = m.expected(np.concatenate(texts), np.cumsum([0, *map(len, texts)]), cells)
+    for g, *w in zip(got, *[_expected(m, t) for t in texts], strict=True):
+        assert np.allclose(g, sum(w))
+    assert not any(x.any() for x in m.expected(np.zeros(0, int), np.zeros(1, int), cells))
+
+
+def test_training_counts_whole_texts(spark):
+    rng = np.random.default_rng(6)
+    share = rng.random(hmm.CLASSES)
+    m = hmm.Hmm.initial(share / share.sum())
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 90, n)) for n in (0, 3, 64, 200, 500)]
+    want = [0, 0, 0]
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        want = [a + b for a, b in zip(want, _expected(m, [*hmm._tokens(data, np.array([0, len(data)]))[3], hmm.CLASSES - 1]), strict=True)]
+    want, got = hmm.Hmm.updated(*want, share), hmm.baum_welch(spark.createDataFrame([(t,) for t in texts], "__text string"), m, share)
+    assert all(np.allclose(getattr(got, k), getattr(want, k)) for k in ("start", "move", "emit"))
+
+
 def test_iterations_raise_the_likelihood(spark):
     m = hmm.Hmm.initial(np.full(hmm.CLASSES, 1 / hmm.CLASSES))
     df = spark.createDataFrame([(("aaa bbb " * 20 if i % 2 else "ccc ddd " * 20),) for i in range(40)], "__text string")

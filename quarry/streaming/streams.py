@@ -51,7 +51,7 @@ def each_batch_shuffled(df: DataFrame, key: str, seed: int, sink: Callable[[Data
 def packed_stream(df: DataFrame, pack_key: str, row: str, length: str, cap: int, interval: int = INTERVAL) -> DataFrame:
     """PACKED rows: by key, rows are packed in order of arrival; the open bin stays in the state.
 
-    The state of a key is its open bin, which holds less than `cap`. Rows that wait when input ends stay in it.
+    The state of a key is its open bin, which holds less than `cap`. open_bins() reads what waits there when input ends.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -74,6 +74,19 @@ def packed_stream(df: DataFrame, pack_key: str, row: str, length: str, cap: int,
     return slim.groupBy("k").applyInPandasWithState(step, PACKED, "rows array<long>, sizes array<long>", "append", "NoTimeout")
 
 
+def open_bins(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """PACKED rows of the bins that a packed_stream which has ended holds in the state of its checkpoint."""
+    bins = spark.read.format("statestore").load(checkpoint).select(F.col("key.k").alias("pack_key"), F.col("value.groupState.rows").alias("row_ids"), F.col("value.groupState.sizes").alias("sizes"))
+    return bins.where(F.size("row_ids") > 0).select("pack_key", "row_ids", F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n).alias("length"))
+
+
+def run_packed(df: DataFrame, name: str, pack_key: str, row: str, length: str, cap: int) -> DataFrame:
+    """packed_stream over what is there, to the end, with the open bin of every key at last."""
+    spark = df.sparkSession
+    checkpoint = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/checkpoints').rstrip('/')}/{name}"
+    return run_all(packed_stream(df, pack_key, row, length, cap), name, checkpoint=checkpoint).unionByName(open_bins(spark, checkpoint))
+
+
 def event_counts(df: DataFrame, time: str, late: str, window: str, *keys: str) -> DataFrame:
     """Counts by window and keys; rows later than `late` are dropped."""
     return df.withWatermark(time, late).groupBy(F.window(time, window), *keys).agg(F.count(F.lit(1)).alias("n"))

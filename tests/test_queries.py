@@ -46,6 +46,25 @@ def test_stream_packs_hold_rows_once(spark):
     assert n - len(rows) < n / 2  # what is left waits in open bins, one for each key
 
 
+def test_stream_packs_hold_every_row(spark):
+    rows = [int(x) for r in QUERIES["k4_stream_packs"](spark, DATA).collect() for x in r.rows.split(",")]
+    assert sorted(rows) == sorted(r.doc_id for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").collect())
+
+
+@pytest.mark.parametrize("files", [1, None])
+def test_stream_packs_match_next_fit(spark, tmp_path, files):
+    from quarry.operators.packing import next_fit
+    from quarry.streaming import streams as S
+
+    data = [[(i, k, 7 * i % 23) for i in range(at, at + 60) for k in ("a", None)] + [(900 + at, "b", 1), (901 + at, "c", 40)] for at in (0, 60)]
+    for part in data:
+        spark.createDataFrame(part, "i long, k string, n long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    s = S.read_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, files_per_trigger=files)
+    got = S.run_packed(s, f"t_{files}", "k", "i", "n", 30).collect()
+    want = [(k, [r for r, _ in b], sum(n for _, n in b)) for k in ("a", None, "b", "c") for b in next_fit([(i, n) for part in data for i, x, n in part if x == k], 30)]
+    assert sorted(map(repr, want)) == sorted(repr((r.pack_key, r.row_ids, r.length)) for r in got)
+
+
 @pytest.mark.parametrize("name", ["a6_overlap_scores", "t14_text_scores"])
 def test_scores_are_in_range(name, spark):
     rows = QUERIES[name](spark, DATA).collect()

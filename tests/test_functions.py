@@ -246,3 +246,26 @@ def test_random_assignments():
         k = min(n, m)
         best = min(sum(c[i, j] for i, j in zip(p, q)) for p in itertools.permutations(range(n), k) for q in itertools.permutations(range(m), k))
         assert sum(c[i, j] for i, j in C.assign(c)) == pytest.approx(best)
+
+
+def test_passage_matches_next_fit():
+    rng = random.Random(4)
+    for _ in range(150):
+        sizes = [rng.choice([0, 1, 3, 9, 10, 11, 25]) for _ in range(rng.randrange(1, 12))]
+        runs = packing.passage(np.array(sizes), 10)
+        for size in range(-1, 10):
+            bins = list(packing.next_fit(enumerate(sizes), 10, [(None, size)] if size >= 0 else None))
+            last = sum(n for _, n in bins[-1])
+            want = (last, len(bins) - 1) if last < 10 else (-1, len(bins))
+            _, grows, left, closed = max(r for r in runs if r[0] <= size)
+            assert (size + left if grows else left, closed) == want
+
+
+@pytest.mark.parametrize("shards", [1, 2, 7, 60])
+def test_next_fit_is_the_same_over_shards(spark, shards):
+    rng = random.Random(shards)
+    items = [(3 * i, rng.choice([0, 0, 1, 2, 5, 40, 99, 100, 130])) for i in range(200)]
+    df = spark.createDataFrame(items, "i long, n long").repartition(5)
+    got = {r.pack_id: (r.row_ids, r.length) for r in packing.pack(df, "i", "n", 100, "next_fit", shards).collect()}
+    bins = list(packing.next_fit(items, 100))
+    assert got == {k: ([r for r, _ in b], sum(n for _, n in b)) for k, b in enumerate(bins)}

@@ -697,5 +697,5 @@ def stream_split(spark, d):
 @query("k4_stream_packs")
 def stream_packs(spark, d):
     schema = spark.read.parquet(f"{d}/documents.parquet").schema
-    s = spark.readStream.schema(schema).parquet(_folder(d, "documents")).withColumn("n", F.least(F.col("n_chars"), F.lit(4000)))
-    return S.run_packed(s, f"packs_{uuid.uuid4().hex}", "lang", "doc_id", "n", 4096).select("pack_key", "length", F.array_join(F.transform("row_ids", lambda x: x.cast("string")), ",").alias("rows"))
+    s = spark.readStream.schema(schema).parquet(_folder(d, "documents"))
+    return S.run_packed(s, f"packs_{uuid.uuid4().hex}", "lang", "doc_id", "n_chars", 4096).select("pack_key", "length", F.array_join(F.transform("row_ids", lambda x: x.cast("string")), ",").alias("rows"))

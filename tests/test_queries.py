@@ -51,6 +51,15 @@ def test_stream_packs_hold_every_row(spark):
     assert sorted(rows) == sorted(r.doc_id for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").collect())
 
 
+def test_stream_packs_have_whole_lengths(spark):
+    n = {r.doc_id: r.n_chars for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "n_chars").collect()}
+    packs = QUERIES["k4_stream_packs"](spark, DATA).collect()
+    assert max(n.values()) > 4096
+    for r in packs:
+        ids = [int(x) for x in r.rows.split(",")]
+        assert r.length == sum(n[i] for i in ids) and (r.length <= 4096 or len(ids) == 1)
+
+
 @pytest.mark.parametrize("files", [1, None])
 def test_stream_packs_match_next_fit(spark, tmp_path, files):
     from quarry.operators.packing import next_fit

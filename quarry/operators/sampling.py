@@ -151,3 +151,15 @@ def negatives(df: DataFrame, pool: DataFrame, key: str, own: str, value: str, k:
     met = walk.withColumn("place", (F.col("start") + F.col("step")) % size).join(numbered, "place").where(~F.array_contains(own, F.col("negative")))
     w = Window.partitionBy(key).orderBy("step")
     return met.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k).select(key, "negative", "nth")
+
+
+def hard_negatives(parts: Column, key: str | Column, h: int, seed: int = 42) -> Column:
+    """(anchor, positive, negatives...) with exactly h negatives: cut to the first h, or padded by seeded repeats.
+
+    Repeats are drawn from places 1 to n of the array for n negatives, as the usual tool does: the positive and all
+    negatives but the last. Without a negative there is an error.
+    """
+    n = F.size(parts) - 2
+    slot = lambda i: F.pmod(F.conv(F.substring(shuffle_key(seed, F.concat_ws(":", (F.col(key) if isinstance(key, str) else key).cast("string"), i.cast("string"))), 1, 8), 16, 10).cast("long"), n).cast("int")
+    padded = F.concat(parts, F.transform(F.sequence(n, F.lit(h - 1)), lambda i: F.get(parts, slot(i) + 1)))
+    return F.when(n < 1, F.raise_error(F.lit("no hard negative"))).when(n >= h, F.slice(parts, 1, h + 2)).otherwise(padded)

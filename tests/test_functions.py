@@ -269,3 +269,18 @@ def test_next_fit_is_the_same_over_shards(spark, shards):
     got = {r.pack_id: (r.row_ids, r.length) for r in packing.pack(df, "i", "n", 100, "next_fit", shards).collect()}
     bins = list(packing.next_fit(items, 100))
     assert got == {k: ([r for r, _ in b], sum(n for _, n in b)) for k, b in enumerate(bins)}
+
+
+def test_hard_negatives_are_cut_and_padded(spark):
+    data = [(i, ["a", "p", *[f"n{j}" for j in range(1 + i % 8)]]) for i in range(400)]
+    df = spark.createDataFrame(data, "i long, parts array<string>")
+    run = lambda d, seed=42: dict(d.select("i", sampling.hard_negatives(F.col("parts"), "i", 5, seed)).collect())
+    got, drawn = run(df), {}
+    for i, parts in data:
+        n = len(parts) - 2
+        assert len(got[i]) == 7 and got[i][: min(n, 5) + 2] == parts[:7]
+        drawn.setdefault(n, set()).update(got[i][n + 2 :])
+    assert all(drawn[n] == {"p", *[f"n{j}" for j in range(n - 1)]} for n in (1, 2, 3, 4))
+    assert got == run(df.repartition(7)) != run(df, 43)
+    with pytest.raises(Exception, match="no hard negative"):
+        run(spark.createDataFrame([(1, ["a", "p"])], "i long, parts array<string>"))

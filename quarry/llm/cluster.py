@@ -1,50 +1,63 @@
-"""Session helpers of this subpackage: shared folders, row identities and batches."""
+"""Session helpers of this subpackage: shared folders, row identities, batches and memory."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import math
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Folder for checkpoints where the session names none (tests on one machine).
+#: Folder for checkpoints where the session names none; only on one machine.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
-#: Bytes of text that one batch of documents holds on average.
+#: Bytes of text that one batch of documents holds on average, at least.
 BATCH_BYTES = 6 << 20
+#: Bytes of keys, on average, of a batch in a bucket at least: batches grow with the square root of the data.
+RUN_BYTES = 640
 BATCH = "__batch"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share. Off local mode it must be named by spark.checkpoint.dir."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or LOCAL_CHECKPOINTS).rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it back: later failures restart from there."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", LOCAL_CHECKPOINTS))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", LOCAL_CHECKPOINTS).rstrip("/")
-
-
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return int(docs.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0)
 
 
-def in_batches(docs: DataFrame, keys: list[str], total_bytes: int, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, int]:
-    """Deal rows to batches of about batch_bytes by the hash of the named columns.
+def batch_count(total_bytes: int) -> int:
+    """Batches (and buckets) of a corpus: of 6 MiB up to 60 GB, then of sqrt(total * RUN_BYTES) bytes."""
+    return max(8, math.ceil(total_bytes / max(BATCH_BYTES, math.isqrt(total_bytes * RUN_BYTES))))
+
+
+def in_batches(docs: DataFrame, keys: list[str], total_bytes: int) -> tuple[DataFrame, int]:
+    """Deal rows to batches by the hash of the named columns; batches share as many partitions as the session shuffles to.
 
     Which batch a row belongs to depends on its values alone, so every later pass, and every retry after a
     lost executor, finds the same rows in the same batch.
     """
-    n = max(8, math.ceil(total_bytes / batch_bytes))
+    n = batch_count(total_bytes)
     dealt = docs.withColumn(BATCH, F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
-    return dealt.repartition(n, BATCH), n
+    return dealt.repartition(min(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), BATCH), n
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A DataFrame of rows that the driver holds. Its size is known to the planner, which broadcasts it only below its threshold."""
-    import pyarrow as pa
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -52,3 +65,30 @@ def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     arrow = to_arrow_schema(kind)
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(kind.fields)
     return spark.createDataFrame(pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), kind)
+
+
+@functools.cache
+def _libc():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+def trim() -> None:
+    """Give freed memory back to the system: Python workers live on between groups, tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if _libc():
+        _libc()(0)
+
+
+def _after(out):
+    trim()
+    return out
+
+
+def lean(f: Callable) -> Callable:
+    """f, of one table or two, with freed memory given back after each call."""
+    if f.__code__.co_argcount == 1:
+        return lambda table: _after(f(table))
+    return lambda left, right: _after(f(left, right))

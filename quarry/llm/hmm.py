@@ -2,19 +2,23 @@
 
 Every token belongs to one of CLASSES classes by a hash of its last bytes; the end of a text has a class of its
 own.  A text's probability is that of its sequence of classes under a hidden Markov model, times the probability
-of each token within its class.  The latter is the smoothed unigram probability (count + 1/2) / (N + (V + 1) / 2)
-divided by the class's share of unigram mass, so the score equals the unigram score plus the log likelihood
-ratio of the class sequence.  The model is a proper distribution over texts up to the one unknown type of the base.
+of each token within its class: its smoothed count, count + 1/2, over the sum of those of the class, in which words
+that no training text holds count as one more type of count 0.  So the classes of a state and the words of a class
+each sum to 1 (the end is the only token of its class), and a score is the log probability of a text in a proper
+distribution, in which unknown words of one class are one word.
 
-Training: Baum-Welch.  Each partition runs the scaled forward-backward recursion over its whole training texts,
-those of an Arrow batch going through numpy together in stretches of about CELLS tokens, and sends expected
-counts; they are summed by Spark, cell by cell, so the driver holds STATES * (STATES + CLASSES) numbers whatever
-the corpus.  Every training text takes part in every iteration.  Scoring runs the exact forward recursion over each
-whole text.
+Training: Baum-Welch.  Texts are tokenised once into classes, two bytes a token, which are checkpointed.  In each
+iteration every partition runs the scaled forward-backward recursion over its whole training texts, those of an
+Arrow batch going through numpy together in stretches of about CELLS tokens, and sends expected counts; they are
+summed by Spark, cell by cell, so the driver holds STATES * (STATES + CLASSES) numbers whatever the corpus.  Every
+training text takes part in every iteration.  Scoring runs the exact forward recursion over each whole text.
 
 Token counts go through exchange.py: a batch sends its distinct tokens with local training counts and is told the
-totals.  Nulls are empty texts, which consist of their end; null ids count as training rows; repeated rows count
-as often as they occur.  Without training texts the class model is uniform.
+totals.  A token's key is 55 bits of a hash and its class; two of 10**10 distinct words share a key in about three
+cases, whose counts are then added up.  Nulls are empty texts, which consist of their end; null ids count as
+training rows; repeated rows count as often as they occur; very long texts go through in stretches like others.
+Without training texts the class model is uniform.  An empty table has no scores.  Other columns of docs take no
+part and are not returned, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,18 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import exchange as X
-from quarry.llm.cluster import BATCH, checkpointed, in_batches, text_bytes
+from quarry.llm.cluster import BATCH, checkpointed, in_batches, lean, text_bytes, trim
 from quarry.llm.linear import held_out
 from quarry.llm.textblocks import U64, blocks, lower, span_hashes, words
 
 STATES = 8
+#: A power of two. The last class is that of the end.
 CLASSES = 512
 ITERATIONS = 3
 #: Tokens of a training stretch: all states of so many are held at once.
 CELLS = 1 << 18
 FOLD, FOLDS = 1, 5
-#: Key of the end token; word keys are other values with overwhelming likelihood.
-END = U64(0x2545F4914F6CDD1D)
+#: Key of the end token: no word has its class.
+END = U64(CLASSES - 1)
 _TAIL = 3
 
 
@@ -176,29 +181,26 @@ class Hmm:
         return back
 
 
-def _train(docs: DataFrame, doc_id: str, text: str, fold: int, folds: int) -> DataFrame:
-    return docs.where(~held_out(doc_id, fold, folds)).select(F.col(text).alias("__text"))
-
-
-def class_counts(train: DataFrame) -> np.ndarray:
-    """How many training tokens each class has."""
+def class_runs(docs: DataFrame, doc_id: str, text: str, fold: int, folds: int) -> DataFrame:
+    """(kinds binary): the classes of each training text, its end included, as 16-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES, np.int64)
         for batch in batches:
+            out = [np.zeros(0, np.int16)]
+            cuts = [np.zeros(1, np.int64)]
             for _, data, offs in blocks(batch.column(0)):
-                total += np.bincount(_tokens(lower(data), offs)[3], minlength=CLASSES)
-                total[CLASSES - 1] += len(offs) - 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(total)], names=["i", "n"])
+                _, _, first, kind = _tokens(lower(data), offs)
+                k, at = _with_end(kind.astype(np.int16), first, CLASSES - 1)
+                out.append(k)
+                cuts.append(at[1:] + cuts[-1][-1])
+            yield pa.RecordBatch.from_arrays([X.runs(np.concatenate(out), np.concatenate(cuts))], names=["kinds"])
+        trim()
 
-    out = np.zeros(CLASSES, np.int64)
-    for r in train.mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
-        out[r["i"]] = r["n"]
-    return out
+    return docs.where(~held_out(doc_id, fold, folds)).select(F.col(text)).mapInArrow(run, "kinds binary")
 
 
 def baum_welch(train: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
-    """One iteration over all training texts."""
+    """One iteration over all training texts, train (kinds)."""
     s = len(model.start)
     cells = s + s * s + s * CLASSES
     shared = train.sparkSession.sparkContext.broadcast(model)  # STATES * (STATES + CLASSES) numbers
@@ -206,14 +208,9 @@ def baum_welch(train: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells)
         for batch in batches:
-            kinds, sizes = [np.zeros(0, np.int16)], [np.zeros(1, np.int64)]
-            for _, data, offs in blocks(batch.column(0)):
-                _, _, first, kind = _tokens(lower(data), offs)
-                k, at = _with_end(kind.astype(np.int16), first, CLASSES - 1)
-                kinds.append(k)
-                sizes.append(np.diff(at))
-            got = shared.value.expected(np.concatenate(kinds), np.cumsum(np.concatenate(sizes)))
+            got = shared.value.expected(*X.flat(pa.chunked_array([batch.column(0)]), np.int16))
             total += np.concatenate([y.ravel() for y in got])
+        trim()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(cells)), pa.array(total)], names=["i", "n"])
 
     total = np.zeros(cells)
@@ -222,10 +219,16 @@ def baum_welch(train: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
     return Hmm.updated(total[:s], total[s : s + s * s].reshape(s, s), total[s + s * s :].reshape(s, CLASSES), share)
 
 
+def class_mass(tokens: np.ndarray, types: np.ndarray) -> np.ndarray:
+    """Smoothed counts of all words of each class; each but that of the end has one unknown type."""
+    mass = tokens + 0.5 * types + 0.5
+    mass[-1] = tokens[-1] + 0.5
+    return mass
+
+
 def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: int = FOLD, folds: int = FOLDS, iterations: int = ITERATIONS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each row of docs."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id, fold, folds).alias("held_out"), F.col(text).alias("__text"))
-    train = _train(docs, doc_id, text, fold, folds)
     batches, n = in_batches(rows, ["doc_id", "__text"], text_bytes(docs, text))
     top = 2**62
 
@@ -235,52 +238,52 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         for row, data, offs in blocks(table["__text"]):
             data = lower(data)
             starts, ends, first, kind = _tokens(data, offs)
-            keys, at = _with_end(span_hashes(data, starts, ends), first, END)
-            kinds, _ = _with_end(kind, first, CLASSES - 1)
+            keys, at = _with_end(span_hashes(data, starts, ends) & ~END | kind.astype(U64), first, END)
+            kinds, _ = _with_end(kind.astype(np.int16), first, CLASSES - 1)
             yield keys, kinds, at, ~out[row : row + len(offs) - 1]
 
     def send(table: pa.Table) -> pa.Table:
         got = [(k, np.repeat(t, np.diff(at))) for k, _, at, t in keys_of(table)]
         keys, at = np.unique(np.concatenate([k for k, _ in got]), return_inverse=True)
-        return X.sent(X.batch_of(table), keys, np.bincount(at, np.concatenate([t for _, t in got])).astype(np.int64), n)
+        return X.sent(X.batch_of(table), keys, np.bincount(at, np.concatenate([t for _, t in got])).astype(np.int64), n, top)
 
     def answer(table: pa.Table) -> pa.Table:
-        out = X._answer(top, table)
-        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), U64)
-        totals = np.frombuffer(b"".join(out["totals"].to_pylist()), np.int64)
-        first = np.unique(keys, return_index=True)[1]
-        # One row more for the sums of this bucket: batch -1.
-        sums = np.array([totals[first].sum(), (totals[first] > 0).sum()], np.int64)
-        extra = pa.table({BATCH: pa.array([-1], pa.int32()), "bucket": pa.array([table["bucket"][0].as_py()], pa.int32()), "totals": pa.array([sums.tobytes()], pa.binary())})
-        return pa.concat_tables([out.cast(extra.schema), extra])
-
-    answered = checkpointed(batches.groupBy(BATCH).applyInArrow(send, X.SENT).groupBy("bucket").applyInArrow(answer, X.ANSWERED))
-    sums = answered.where(F.col(BATCH) == -1).select("totals").mapInArrow(_unpack_sums, "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
-    total, distinct = int(sums["n"] or 0), int(sums["v"] or 0)
-
-    counts = class_counts(train)
-    share = (counts + 0.5) / (counts.sum() + 0.5 * CLASSES)
+        out, keys, sums = X.answer(top, table)
+        # One row more for the sums of this bucket, training tokens and types by class: batch -1.
+        kind = (keys & END).astype(np.int64)
+        by = np.concatenate([np.bincount(kind, sums, CLASSES), np.bincount(kind, sums > 0, CLASSES)]).astype(np.int64)
+        extra = pa.table({BATCH: pa.array([-1], pa.int32()), "bucket": table["bucket"][:1], "totals": X.runs(by, np.array([0, len(by)]))})
+        return pa.concat_tables([out, extra.cast(out.schema)])
+
+    answered = checkpointed(batches.groupBy(BATCH).applyInArrow(lean(send), X.SENT).groupBy("bucket").applyInArrow(lean(answer), X.ANSWERED))
+    sums = np.zeros((2, CLASSES), np.int64)
+    for r in answered.where(F.col(BATCH) == -1).select("totals").mapInArrow(_class_sums, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        sums[r["i"] // CLASSES, r["i"] % CLASSES] = r["n"]
+    total, distinct = int(sums[0].sum()), int(sums[1].sum())
+
+    mass = class_mass(*sums)
+    share = (sums[0] + 0.5) / (total + 0.5 * CLASSES)
     model = Hmm.initial(share)
     if total:
+        train = checkpointed(class_runs(docs, doc_id, text, fold, folds))
         for _ in range(iterations):
             model = baum_welch(train, model, share)
     else:
         model = Hmm(model.start, model.move, np.tile(share, (len(model.start), 1)))
-    shared = docs.sparkSession.sparkContext.broadcast((model, np.log10(share)))
     floor = np.log10(total + 0.5 * (distinct + 1))
+    shared = docs.sparkSession.sparkContext.broadcast((model, np.log10(mass)))
 
     def use(table: pa.Table, totals: np.ndarray) -> pa.Table:
-        hmm, log_share = shared.value
-        got = list(keys_of(table))
-        every = np.unique(np.concatenate([k for k, *_ in got]))
+        hmm, log_mass = shared.value
+        every = np.unique(np.concatenate([k for k, *_ in keys_of(table)]))
         n_tokens, n_known, base, score = [], [], [], []
-        for keys, kinds, at, _ in got:
+        for keys, kinds, at, _ in keys_of(table):
             c = totals[np.searchsorted(every, keys)]
             n_tokens.append(np.diff(at))
             n_known.append(np.add.reduceat((c > 0).astype(np.int64), at[:-1]))
-            unigram = np.add.reduceat(np.log10(c + 0.5) - floor, at[:-1])
-            base.append(unigram)
-            score.append(unigram + hmm.log10(kinds, at) - np.add.reduceat(log_share[kinds], at[:-1]))
+            own = np.log10(c + 0.5)
+            base.append(np.add.reduceat(own - floor, at[:-1]))
+            score.append(hmm.log10(kinds, at) + np.add.reduceat(own - log_mass[kinds], at[:-1]))
         cat = np.concatenate
         return pa.table({"doc_id": table["doc_id"], "held_out": table["held_out"], "n_tokens": cat(n_tokens), "n_known": cat(n_known), "train_tokens": np.full(len(table), total, np.int64), "base_score": cat(base), "score": cat(score)})
 
@@ -288,10 +291,11 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     return X.told(batches, answered.where(F.col(BATCH) >= 0), use, schema, top)
 
 
-def _unpack_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _class_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(2 * CLASSES, np.int64)
     for batch in batches:
-        a = np.array([np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()], np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["n", "v"])
+        total += X.flat(pa.chunked_array([batch.column(0)]), np.int64)[0].reshape(-1, 2 * CLASSES).sum(0)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * CLASSES)), pa.array(total)], names=["i", "n"])
 
 
 def op7_hmm_scores(spark, sf_dir: str) -> DataFrame:

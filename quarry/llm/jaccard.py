@@ -4,9 +4,11 @@
 2. Shingles are counted over all classes (exchange.py).  A set's tokens are ordered from rare to frequent; by the
    prefix principle two sets that link share one of their first n - ceil(t * n) + 1 tokens.  Tokens of one class
    only need no list, so a text with enough words of its own is done here.
-3. Index lists of the remaining prefix tokens are sorted by set size and cut into blocks: where the next size is
-   too large for any set so far to link, everything behind is skipped.  A block becomes a star, first in each
-   partition, then over partitions; connected stars form groups outside of which nothing links.
+3. Index lists of the remaining prefix tokens are sorted by set size and cut into blocks.  A token's position in a
+   set bounds what the set can share with any other whose first common token it is, and so the sizes it can link
+   with there: where the next size is beyond the reach of all sets so far, everything behind is skipped, and sets
+   that reach none of their block leave it.  A block becomes a star, first in each partition, then over partitions;
+   connected stars form groups outside of which nothing links.
 4. Within a group overlaps are exact.  Sets are taken by size; if the overlaps of a very similar set are known, a
    set's own are derived from them by adding and taking away the few tokens in which the two differ.
 5. Large groups are cut into chunks, each of which also gets PIVOTS sets of the group.  Sets that the links found so
@@ -15,7 +17,8 @@
 
 No pair is emitted: groups send one edge for each set.  A class is known by the first 64 bits of its hash.
 Texts without words have no set and are linked with nothing.  Null ids take part as the least of no component
-unless all ids of it are null.  Repeated rows are members of one class.
+unless all ids of it are null.  Repeated rows are members of one class.  Very long texts form a block of their own.
+An empty table has no rows to return; other columns of docs take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import exchange as X
-from quarry.llm.cluster import BATCH, checkpointed, in_batches, text_bytes
+from quarry.llm.cluster import BATCH, checkpointed, in_batches, lean, text_bytes, trim
 from quarry.llm.components import Forest, components
 from quarry.llm.textblocks import U64, blocks, lower, mix, rows_of, span_hashes, whole_windows, window_hashes, words
 
@@ -38,11 +41,12 @@ SHINGLE = 5
 PERCENT = 80
 #: Sets and tokens of a group (or chunk) that one call compares.
 GROUP_SETS = 192
-GROUP_TOKENS = 400_000
+GROUP_TOKENS = 200_000
 PIVOTS = 8
 #: Classes that one task remembers so as to send their text once only.
-SEEN = 500_000
-LOCAL_BINS = 64
+SEEN = 200_000
+#: Tokens of a bin of groups, on average.
+BIN_TOKENS = 1_000_000
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
@@ -112,11 +116,18 @@ def classes(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
                 seen.clear()
             texts = pa.compute.if_else(pa.array(first, pa.bool_()), batch.column(1), pa.scalar(None, batch.column(1).type))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), texts], names=schema.names)
+        seen.clear()
+        trim()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-CANDIDATE = "id long, n long, tokens binary, prefix binary"
+CANDIDATE = "id long, n long, tokens binary, prefix binary, reach binary"
+
+
+def reach_of(n: int, at: np.ndarray, percent: int) -> np.ndarray:
+    """The greatest size that a set of n can link with if the first common token is at place `at` of its order."""
+    return np.minimum(((n - at) * (100 + percent) - n * percent) // percent, n * 100 // percent)
 
 
 def _batch_sets(table: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -132,7 +143,7 @@ def _batch_sets(table: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def candidates(rows: DataFrame, total: int, k: int, percent: int) -> DataFrame:
-    """CANDIDATE rows: classes that share a prefix token with another class, with all tokens and those prefix tokens.
+    """CANDIDATE rows: classes that share a prefix token with another class, with all tokens, those prefix tokens and how far each reaches.
 
     total: bytes of text at most, for the number of batches.
     """
@@ -140,81 +151,89 @@ def candidates(rows: DataFrame, total: int, k: int, percent: int) -> DataFrame:
 
     def send(table: pa.Table) -> pa.Table:
         sets = [s for _, s in _batch_sets(table, k)]
-        return X.sent(X.batch_of(table), *X.key_counts(np.concatenate(sets)), n)
+        return X.sent(X.batch_of(table), *X.key_counts(np.concatenate(sets)), n, 255)
 
     def pick(table: pa.Table, totals: np.ndarray) -> pa.Table:
-        sets = list(_batch_sets(table, k))
-        flat = np.concatenate([s for _, s in sets])
-        order = np.argsort(flat)
-        ranked = flat[order]
+        ids, sets = zip(*_batch_sets(table, k), strict=True)
+        cuts = np.cumsum([0, *map(len, sets)])
+        flat = np.concatenate(sets)
+        order, new = X.distinct(flat)
         counts = np.empty(len(flat), totals.dtype)
-        counts[order] = totals[np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]))]
-        out: list[tuple[int, int, bytes, bytes]] = []
-        for (i, s), df in zip(sets, np.split(counts, np.cumsum([len(s) for _, s in sets])[:-1]), strict=True):
-            p = len(s) - int(needed(len(s), percent)) + 1
+        counts[order] = np.repeat(totals, np.diff(np.append(new, len(flat))))
+        del flat, order, new
+        out: list[list] = [[], [], [], [], []]
+        for i, s, x, y in zip(ids, sets, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            df, p = counts[x:y], len(s) - int(needed(len(s), percent)) + 1
             if int((df == 1).sum()) >= p:
                 continue
             order = np.lexsort((s, df))[:p]
-            prefix = s[order][df[order] > 1]
-            if len(prefix):
-                out.append((i, len(s), s.tobytes(), prefix.tobytes()))
-        cols = list(zip(*out, strict=True)) if out else [(), (), (), ()]
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["id", "n", "tokens", "prefix"])
+            at = np.flatnonzero(df[order] > 1)
+            if len(at):
+                for column, value in zip(out, (i, len(s), s.tobytes(), s[order[at]].tobytes(), reach_of(len(s), at, percent).tobytes()), strict=True):
+                    column.append(value)
+        return pa.table([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["id", "n", "tokens", "prefix", "reach"])
 
-    answered = X.answers(batches.groupBy(BATCH).applyInArrow(send, X.SENT), 255)
+    answered = X.answers(batches.groupBy(BATCH).applyInArrow(lean(send), X.SENT), 255)
     return checkpointed(X.told(batches, answered, pick, CANDIDATE, 255))
 
 
-def _stars(token: np.ndarray, node: np.ndarray, least: np.ndarray, most: np.ndarray, percent: int):
-    """Blocks of index lists: (first node of each entry's block, token, first node, least and greatest size of each block)."""
+def _stars(token: np.ndarray, node: np.ndarray, least: np.ndarray, reach: np.ndarray, single: bool = False):
+    """Blocks of index lists: each entry, the first of its block, and (token, first, least size, reach) of each block.
+
+    single: entries are sets, not blocks; those that reach no size of their block leave it.
+    """
     order = np.lexsort((least, token))
-    token, node, least, most = token[order], node[order], least[order], most[order]
-    if not len(token):
-        return node, node, token, node, least, most
-    run = np.concatenate([[True], token[1:] != token[:-1]])
-    # The greatest size so far within each list; sizes are below 2**40, lists are numbered.
-    lift = np.cumsum(run).astype(np.int64) << 40
-    reach = np.maximum.accumulate(most + lift) - lift
-    cut = run.copy()
-    cut[1:] |= reach[:-1] * 100 < least[1:] * percent
-    begin = np.flatnonzero(cut)
-    head = np.repeat(node[begin], np.diff(np.append(begin, len(node))))
-    return node, head, token[begin], node[begin], least[begin], np.maximum.reduceat(most, begin)
+    token, node, least, reach = token[order], node[order], least[order], reach[order]
+    for turn in range(2):
+        if not len(token):
+            return node, node, token, node, least, reach
+        run = np.ones(len(token), bool)
+        run[1:] = token[1:] != token[:-1]
+        # The greatest reach so far within each list; sizes are below 2**40, lists are numbered.
+        lift = np.cumsum(run).astype(np.int64) << 40
+        cut = run
+        cut[1:] |= (np.maximum.accumulate(reach + lift) - lift)[:-1] < least[1:]
+        begin = np.flatnonzero(cut)
+        size = np.diff(np.append(begin, len(node)))
+        if turn or not single:
+            break
+        keep = reach >= np.repeat(least[begin], size)
+        # A head that only smaller sets could link with stays where its list may go on in other partitions.
+        keep |= cut
+        token, node, least, reach = token[keep], node[keep], least[keep], reach[keep]
+    return node, np.repeat(node[begin], size), token[begin], node[begin], least[begin], np.maximum.reduceat(reach, begin)
 
 
 def candidate_edges(cand: DataFrame, percent: int) -> DataFrame:
     """(a, b): stars of the blocks of all index lists."""
-    buckets = int(cand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = "a long, b long, bucket int, tokens binary, nodes binary, least binary, most binary"
-    names = ["a", "b", "bucket", "tokens", "nodes", "least", "most"]
-
-    def rows(a, b, sends):
-        e, m = len(a), len(sends)
-        none = pa.array([None] * e, pa.binary())
-        cols = [pa.concat_arrays([none, pa.array([x[i] for x in sends], pa.binary())]) for i in range(1, 5)]
-        return pa.RecordBatch.from_arrays([pa.array(np.append(a, np.zeros(m, np.int64))), pa.array(np.append(b, np.zeros(m, np.int64))), pa.concat_arrays([pa.array([-1] * e, pa.int32()), pa.array([x[0] for x in sends], pa.int32())]), *cols], names=names)
+    buckets = max(1, -(-int(cand.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0) // (8 * BIN_TOKENS)))
+    schema = "a long, b long, bucket int, tokens binary, nodes binary, least binary, reach binary"
+    names = ["a", "b", "bucket", "tokens", "nodes", "least", "reach"]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefix = [np.frombuffer(p, U64) for p in batch.column("prefix").to_pylist()]
-            if not prefix:
+            prefix, cuts = X.flat(pa.chunked_array([batch.column("prefix")]), U64)
+            if not len(prefix):
                 continue
-            size = [len(p) for p in prefix]
+            reach, size = X.flat(pa.chunked_array([batch.column("reach")]), np.int64)[0], np.diff(cuts)
             n = np.repeat(np.asarray(batch.column("n")), size)
-            node, head, token, first, least, most = _stars(np.concatenate(prefix), np.repeat(np.asarray(batch.column("id")), size), n, n, percent)
+            node, head, token, *rest = _stars(prefix, np.repeat(np.asarray(batch.column("id")), size), n, reach, True)
             edge = np.unique(np.stack([node, head])[:, node != head], axis=1)
             cuts = np.searchsorted(X.bucket_of(token, buckets), np.arange(buckets + 1))
-            part = lambda x, i: x[cuts[i] : cuts[i + 1]].tobytes()
-            yield rows(edge[0], edge[1], [(i, part(token, i), part(first, i), part(least, i), part(most, i)) for i in range(buckets) if cuts[i] < cuts[i + 1]])
+            full = np.flatnonzero(cuts[1:] > cuts[:-1])
+            cuts, e, m = np.append(cuts[full], len(token)), edge.shape[1], len(full)
+            none = pa.nulls(e, pa.binary())
+            ends = [pa.array(np.append(x, np.zeros(m, np.int64))) for x in edge]
+            yield pa.RecordBatch.from_arrays([*ends, pa.array(np.append(np.full(e, -1), full).astype(np.int32)), *[pa.concat_arrays([none, X.runs(x, cuts)]) for x in (token, *rest)]], names=names)
+        trim()
 
     def meet(table: pa.Table) -> pa.Table:
-        get = lambda c, t: np.frombuffer(b"".join(table[c].to_pylist()), t)
-        node, head, *_ = _stars(get("tokens", U64), get("nodes", np.int64), get("least", np.int64), get("most", np.int64), percent)
+        node, head, *_ = _stars(X.flat(table["tokens"], U64)[0], *[X.flat(table[c], np.int64)[0] for c in ("nodes", "least", "reach")])
         edge = np.unique(np.stack([node, head])[:, node != head], axis=1)
         return pa.table({"a": edge[0], "b": edge[1]})
 
-    spread = cand.select("id", "n", "prefix").mapInArrow(local, schema)
-    far = spread.where("bucket >= 0").select("bucket", "tokens", "nodes", "least", "most").groupBy("bucket").applyInArrow(meet, "a long, b long")
+    spread = cand.select("id", "n", "prefix", "reach").mapInArrow(local, schema)
+    far = spread.where("bucket >= 0").select("bucket", "tokens", "nodes", "least", "reach").groupBy("bucket").applyInArrow(lean(meet), "a long, b long")
     return spread.where("bucket < 0").select("a", "b").union(far)
 
 
@@ -275,7 +294,7 @@ def group_links(cand: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     pivot_ids = sizes.where("chunks > 1").select("comp", "chunks", F.explode(F.array_distinct(F.array(*[F.col(f"p{i}.id") for i in range(PIVOTS)]))).alias("id"))
     pivots = members.join(pivot_ids, ["comp", "id"]).select("comp", "id", "n", "tokens", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     dealt = placed.select("comp", "chunk", "id", "tokens").union(pivots.select("comp", "chunk", "id", "tokens"))
-    tasks = int(cand.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
+    tasks = max(1, -(-int(sizes.agg(F.sum("words")).first()[0] or 0) // BIN_TOKENS))
     dealt = dealt.withColumn("bin", F.pmod(F.xxhash64("comp", "chunk"), F.lit(tasks)).cast("int"))
 
     def within(table: pa.Table) -> pa.Table:
@@ -289,7 +308,7 @@ def group_links(cand: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
             out += _edges_within(ids[part].tolist(), [np.frombuffer(tokens[i], U64) for i in part], percent)
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    near = checkpointed(dealt.groupBy("bin").applyInArrow(within, "a long, b long"))
+    near = checkpointed(dealt.groupBy("bin").applyInArrow(lean(within), "a long, b long"))
     big = sizes.where("chunks > 1").select("comp")
     if big.isEmpty():
         return near
@@ -316,7 +335,7 @@ def group_links(cand: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
                 out.append((ids[i], ids[j]))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return near.union(left.union(right).groupBy("comp", "chunk", "part").applyInArrow(across, "a long, b long"))
+    return near.union(left.union(right).groupBy("comp", "chunk", "part").applyInArrow(lean(across), "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -340,13 +359,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs whose doc_id is the component_id; of rows with equal ids and classes all stay together.
+    """Of each component of linked texts one row: that of the least doc_id, of several the one of least row hash.
 
-    Rows with a null id or without a set are kept.
+    Rows with a null id or without words are kept as they are.  Rows of one id are judged each by its own text.
     """
-    found = jaccard_components(docs.where(F.col(doc_id).isNotNull()), doc_id, text, k, percent)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti")
+    cols = docs.columns
+    set_of = F.col(doc_id).isNotNull() & F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    own = docs.where(set_of).withColumn("__row", F.xxhash64(*cols))
+    found = jaccard_components(own.select(F.struct(F.col(doc_id).alias("id"), F.col("__row").alias("row")).alias("__id"), F.col(text).alias("__text")), "__id", "__text", k, percent)
+    first = found.where("component_id = doc_id").select(F.col("doc_id.id").alias("__first"), F.col("doc_id.row").alias("__row")).distinct()
+    kept = own.join(first, (F.col(doc_id) == F.col("__first")) & (own["__row"] == first["__row"]), "left_semi")
+    return kept.dropDuplicates([doc_id, "__row"]).select(*cols).union(docs.where(~set_of))
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:

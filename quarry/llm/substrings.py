@@ -9,7 +9,9 @@ twice or more, in any document, are removed.  False anchors cost time, never wor
 
 Occurrences meet as counts (exchange.py): no pairs of documents are made, however many share a passage.
 Texts are judged as given; nulls are empty texts, repeated rows repeat each other's windows, texts with fewer
-than WINDOW words lose nothing.
+than WINDOW words lose nothing, very long ones form a block of their own, and an empty table gives an empty result.
+Columns of docs named n_words, n_removed or kept give way to those appended.  Windows are equal if 128 bits of two
+independent hashes are: among 10**13 windows the chance of any wrong match is about 10**-13.
 """
 
 from __future__ import annotations
@@ -21,15 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import exchange as X
-from quarry.llm.cluster import BATCH, in_batches, text_bytes
-from quarry.llm.textblocks import BASES, U64, blocks, rows_of, span_hashes, whole_windows, window_hashes, words
+from quarry.llm.cluster import BATCH, in_batches, lean, text_bytes
+from quarry.llm.textblocks import SEEDS, blocks, rows_of, span_hashes, whole_windows, window_hashes, words
 
 WINDOW = 35
 #: A perfect difference set: all differences modulo 21 occur. Fixed values.
 PERIOD = 21
 COVER = (3, 6, 7, 12, 14)
-#: Second base of the 128-bit window hashes.
-_OTHER = (BASES[1], 0xA0761D6478BD642F)
+#: Seeds of the second half of the 128-bit window hashes.
+_OTHER = (SEEDS[1], 0xA0761D6478BD642F)
 
 
 def cover_positions(first: np.ndarray, width: int, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> np.ndarray:
@@ -64,47 +66,46 @@ def substring_dedup(docs: DataFrame, keep: list[str], text: str = "text", window
     width = window - PERIOD + 1
     if width < 1:
         raise ValueError(f"window must have {PERIOD} words at least")
+    keep = [c for c in keep if c not in ("n_words", "n_removed", "kept")]
     kept = docs.select(*keep).schema
-    schema = kept.add("n_words", "long").add("n_removed", "long").add("kept", "string")
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    batches, n = in_batches(rows, ["__text", *[c for c in keep if c != text]], text_bytes(docs, text))
+    schema = docs.select(*keep).schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
+    named = [f"__k{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, named, strict=True)], F.col(text).alias("__text"))
+    batches, n = in_batches(rows, ["__text", *named], text_bytes(docs, text))
 
     def send_anchors(table: pa.Table) -> pa.Table:
         got = [_anchors(d, o, width)[4] for _, d, o in blocks(table["__text"])]
-        return X.sent(X.batch_of(table), *X.key_counts(np.concatenate(got)), n)
+        return X.sent(X.batch_of(table), *X.key_counts(np.concatenate(got)), n, 2)
 
     def candidates(table: pa.Table, totals: np.ndarray):
         """Of each block: its words, and the windows around anchors that occur twice."""
-        found = [(d, *_anchors(d, o, width)) for _, d, o in blocks(table["__text"])]
-        keys = np.unique(np.concatenate([x[5] for x in found]))
+        keys = np.unique(np.concatenate([_anchors(d, o, width)[4] for _, d, o in blocks(table["__text"])]))
         twice = keys[totals >= 2]
-        for d, starts, ends, first, at, key in found:
+        del keys
+        for _, d, o in blocks(table["__text"]):
+            starts, ends, first, at, key = _anchors(d, o, width)
             hit = at[np.isin(key, twice)] if len(twice) else at[:0]
             yield d, starts, ends, first, *_windows(d, starts, ends, first, hit, window, width)
 
     def send_windows(table: pa.Table, totals: np.ndarray) -> pa.Table:
         got = [(x[5], x[6]) for x in candidates(table, totals)]
         a, b = np.concatenate([x for x, _ in got]), np.concatenate([y for _, y in got])
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-        count = np.diff(np.append(new, len(a)))
-        return _sent_pairs(X.batch_of(table), a[new], b[new], count, n)
+        order, new = X.distinct(a, b)
+        return X.sent(X.batch_of(table), a[order[new]], np.diff(np.append(new, len(a))), n, 2, b[order[new]])
 
     def remove(table: pa.Table, totals: np.ndarray, again: np.ndarray) -> pa.Table:
-        got = list(candidates(table, totals))
-        a, b = np.concatenate([x[5] for x in got]), np.concatenate([x[6] for x in got])
+        got = [(x[4], x[5], x[6]) for x in candidates(table, totals)]
+        a, b = np.concatenate([x[1] for x in got]), np.concatenate([x[2] for x in got])
         # The distinct pairs in the order in which they were sent, and which of them each window is.
-        order = np.lexsort((b, a))
-        ra, rb = a[order], b[order]
-        step = np.concatenate([[True], (ra[1:] != ra[:-1]) | (rb[1:] != rb[:-1])]) if len(a) else np.zeros(0, bool)
-        which = np.empty(len(a), np.int64)
-        which[order] = np.cumsum(step) - 1
-        dup, at = again[which] >= 2 if len(a) else np.zeros(0, bool), 0
-        n_words, n_removed, texts = [], [], []
-        for d, starts, ends, first, begin, key, _ in got:
-            gone = begin[dup[at : at + len(key)]]
-            at += len(key)
+        order, new = X.distinct(a, b)
+        dup = np.zeros(len(a), bool)
+        dup[order] = np.repeat(again >= 2, np.diff(np.append(new, len(a))))
+        del a, b, order, new
+        at, n_words, n_removed, texts = 0, [], [], []
+        for (begin, _, _), (_, d, o) in zip(got, blocks(table["__text"]), strict=True):
+            starts, ends, first = words(d, o)
+            gone = begin[dup[at : at + len(begin)]]
+            at += len(begin)
             mark = np.zeros(int(first[-1]) + 1, np.int64)
             np.add.at(mark, gone, 1)
             np.add.at(mark, gone + window, -1)
@@ -115,13 +116,14 @@ def substring_dedup(docs: DataFrame, keep: list[str], text: str = "text", window
                 n_words.append(y - x)
                 stay = np.flatnonzero(~out[x:y]) + x
                 n_removed.append(y - x - len(stay))
-                texts.append(b" ".join([raw[i:j] for i, j in zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)]).decode())
-        cols = [table[c].cast(f.type) for c, f in zip(keep, _arrow(kept, len(keep)), strict=True)]
-        return pa.table([*cols, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())], names=schema.names)
+                texts.append(b" ".join([raw[i:j] for i, j in zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)]))
+        cols = [table[c].cast(f.type) for c, f in zip(named, _arrow(kept, len(keep)), strict=True)]
+        return pa.table([*cols, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())], names=schema.names)
 
-    first_round = X.answers(batches.groupBy(BATCH).applyInArrow(send_anchors, X.SENT), 2)
-    second = batches.groupBy(BATCH).cogroup(first_round.groupBy(BATCH)).applyInArrow(lambda t, a: send_windows(t, X.totals_of(a, 2)) if len(t) else _no_pairs(), PAIRS)
-    second_round = second.groupBy("bucket").applyInArrow(_answer_pairs, PAIR_ANSWERS)
+    first_round = X.answers(batches.groupBy(BATCH).applyInArrow(lean(send_anchors), X.SENT), 2)
+    none = X.sent(0, np.zeros(0, np.uint64), np.zeros(0, np.int64), n, 2)
+    second = batches.groupBy(BATCH).cogroup(first_round.groupBy(BATCH)).applyInArrow(lean(lambda t, a: send_windows(t, X.totals_of(a, 2)) if len(t) else none), X.SENT)
+    second_round = X.answers(second, 2)
 
     # Both rounds of answers go back together; `turn` tells them apart.
     back = first_round.select(BATCH, "bucket", "totals", F.lit(1).alias("turn")).unionByName(second_round.select(BATCH, "bucket", "totals", F.lit(2).alias("turn")))
@@ -130,7 +132,7 @@ def substring_dedup(docs: DataFrame, keep: list[str], text: str = "text", window
         turn = np.asarray(a["turn"])
         return remove(table, X.totals_of(a.filter(pa.array(turn == 1)), 2), X.totals_of(a.filter(pa.array(turn == 2)), 2))
 
-    return batches.groupBy(BATCH).cogroup(back.groupBy(BATCH)).applyInArrow(finish, schema)
+    return batches.groupBy(BATCH).cogroup(back.groupBy(BATCH)).applyInArrow(lean(finish), schema)
 
 
 def _arrow(schema, n: int):
@@ -139,36 +141,6 @@ def _arrow(schema, n: int):
     return [to_arrow_schema(schema).field(i) for i in range(n)]
 
 
-PAIRS = f"bucket int, {BATCH} int, keys binary, others binary, counts binary"
-PAIR_ANSWERS = X.ANSWERED
-
-
-def _no_pairs() -> pa.Table:
-    return pa.table({"bucket": pa.array([], pa.int32()), BATCH: pa.array([], pa.int32()), "keys": pa.array([], pa.binary()), "others": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
-
-
-def _sent_pairs(batch: int, a: np.ndarray, b: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
-    """Rows of PAIRS: distinct 128-bit keys, sorted, cut by the leading bits of the first half."""
-    cuts = np.searchsorted(X.bucket_of(a, buckets), np.arange(buckets + 1))
-    full = [i for i in range(buckets) if cuts[i] < cuts[i + 1]]
-    counts = np.minimum(counts, 2).astype(np.uint8)
-    part = lambda x: pa.array([x[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary())
-    return pa.table({"bucket": pa.array(full, pa.int32()), BATCH: pa.array([batch] * len(full), pa.int32()), "keys": part(a), "others": part(b), "counts": part(counts)})
-
-
-def _answer_pairs(table: pa.Table) -> pa.Table:
-    keys = [np.frombuffer(k, U64) for k in table["keys"].to_pylist()]
-    a, b = np.concatenate(keys), np.frombuffer(b"".join(table["others"].to_pylist()), U64)
-    c = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint8).astype(np.int64)
-    order = np.lexsort((b, a))
-    ra, rb = a[order], b[order]
-    new = np.flatnonzero(np.concatenate([[True], (ra[1:] != ra[:-1]) | (rb[1:] != rb[:-1])]))
-    totals = np.empty(len(a), np.uint8)
-    totals[order] = np.minimum(np.repeat(np.add.reduceat(c[order], new), np.diff(np.append(new, len(a)))), 2)
-    cuts = np.cumsum([0, *map(len, keys)])
-    return pa.table({BATCH: table[BATCH], "bucket": table["bucket"], "totals": pa.array([totals[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
-
-
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Words that substring dedup removes from every document, and a digest of what stays."""
     out = substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"])

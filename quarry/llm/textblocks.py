@@ -21,26 +21,10 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-#: Odd multipliers of the two rolling hashes (arbitrary fixed odd numbers).
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 ... base**n modulo 2**64; the longest table so far is kept per process."""
-    have = _POWERS.get(base)
-    if have is None or len(have) <= n:
-        table = np.full(max(n, 1 << 16) + 1, base & (2**64 - 1), U64)
-        table[0] = 1
-        np.cumprod(table, out=table)
-        if n <= 4 * BLOCK_BYTES:
-            _POWERS[base] = table
-        have = table
-    return have[: n + 1]
-
-
-def inverse(base: int) -> int:
-    return pow(base, -1, 2**64)
+#: Seeds of the two hashes of a span or window (arbitrary fixed numbers).
+SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: For each number of bytes, the bits of a lane that they fill.
+_FILLED = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -99,24 +83,48 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASES[0]) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
-    n = len(data)
-    total = np.zeros(n + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * powers(base, n)[:n], out=total[1:])
-    h = (total[ends] - total[starts]) * powers(inverse(base), n)[starts]
-    h += (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93)
-    return mix(h)
-
-
-def window_hashes(h: np.ndarray, width: int, base: int = BASES[1]) -> np.ndarray:
-    """A 64-bit hash of every run of `width` consecutive values of h (those that fit)."""
-    n = len(h)
-    if n < width:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SEEDS[0]) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span.
+
+    Spans are cut into lanes of eight bytes.  Every lane is mixed with a key of its place (splitmix64 both times), so
+    no arithmetic relation between lanes survives; the sum of the lanes is mixed with the length.
+    """
+    n, size = len(data), ends - starts
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = data
+    lanes = np.ndarray(n + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    key = mix(np.array([seed], U64))
+    h = mix((lanes[starts] & _FILLED[np.minimum(size, 8)]) ^ key)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        more = (size[long] - 1) // 8  # lanes after the first
+        first = np.cumsum(more) - more
+        place = np.arange(int(more.sum())) - np.repeat(first, more) + 1
+        at = np.repeat(starts[long], more) + 8 * place
+        filled = _FILLED[np.minimum(np.repeat(ends[long], more) - at, 8)]
+        h[long] += np.add.reduceat(mix((lanes[at] & filled) ^ mix(place.astype(U64) + key)), first)
+    return mix(h ^ size.astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
+def window_hashes(h: np.ndarray, width: int, seed: int = SEEDS[1]) -> np.ndarray:
+    """A 64-bit hash of every run of `width` consecutive values of h (those that fit).
+
+    Runs of 1, 2, 4, ... values are joined pair by pair, each time with a mix in between; a window is the join of
+    the powers of two that its width is made of.
+    """
+    n = len(h) - width + 1
+    if n < 1:
         return np.zeros(0, U64)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(h * powers(base, n)[:n], out=total[1:])
-    return mix((total[width:] - total[: n - width + 1]) * powers(inverse(base), n)[: n - width + 1])
+    times = U64(seed | 1)
+    step, power, done, out = h, 1, 0, np.full(n, width, U64)
+    while True:
+        if width & power:
+            out = mix(out * times + step[done : done + n])
+            done += power
+        if 2 * power > width:
+            return out
+        step = mix(step[:-power] * times + step[power:])
+        power *= 2
 
 
 def whole_windows(first: np.ndarray, width: int) -> np.ndarray:

@@ -10,11 +10,15 @@
    gets a random, unequal share of each source.
 4. A shard draws disjoint runs of the permuted blocks of each source and shuffles what it drew by itself.
 
-The driver holds one row for each source, and for each (source, shard) the numbers of the tree; blocks and rows
-stay in DataFrames.  Hot sources have many blocks, and joins go by (source, block).
+Blocks and rows stay in DataFrames.  Hot sources have many blocks: up to SHARD_BLOCKS for each shard.
 
-Nulls: a null text has size 0, a null source is a source of its own, last in order.  Repeated rows share one
-hash and are taken together.  An empty table gives an empty mix.  Extra columns pass through.
+Repeated rows, equal in all columns, share one hash and so one place in the order.  They are one unit of several
+rows: where only part of them fits, that many are taken, whichever; no order is needed among equal rows.
+
+Nulls: a null text has size 0, a null source is a source of its own, last in order.  An empty table gives an empty
+mix.  Extra columns pass through, except that mix() replaces those named like its own.  Columns must be hashable
+(no maps).  The driver holds numbers for each source and, for each, of SHARDS shards: sources are named corpora,
+some thousands at most.
 """
 
 from __future__ import annotations
@@ -33,10 +37,12 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 SHARDS = 16
 SEED = 20240607
-#: Rows of a block on average, blocks of a source at most, and rows of the last cut at most.
+#: Rows of a block on average, blocks of a source for each shard at most, and units of the last cut at most.
 BLOCK_ROWS = 64
-MOST_BLOCKS = 256
+SHARD_BLOCKS = 16
 LAST_ROWS = 512
+#: Parts, as a power of two, in which a shard is sorted.
+CELL_BITS = 6
 
 
 def size_words(text: Column) -> Column:
@@ -78,7 +84,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """
     spark = docs.sparkSession
     new = ("size", "source_size", "target", "taken", "draws")
-    rows = docs.drop(*new).withColumns({"size": size_words(F.col(text)), "__s": F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("~")), "__h": F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))})
+    whole = F.xxhash64(F.lit(seed), *docs.drop(*new).columns)
+    rows = docs.drop(*new).withColumns({"size": size_words(F.col(text)), "__s": F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("~")), "__h": whole})
     slim = checkpointed(rows.select("__s", "__h", "size"))
     # '~' is the null source: named ones begin with 's' and so come before it.
     stats = slim.groupBy("__s").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
@@ -87,7 +94,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     goal = targets([r["size"] for r in stats], weights, most=most)
     for r, t in zip(stats, goal, strict=True):
         blocks = 1
-        while blocks < MOST_BLOCKS and r["n"] > blocks * BLOCK_ROWS:
+        while blocks < max(2, shards * SHARD_BLOCKS) and r["n"] > blocks * BLOCK_ROWS:
             blocks *= 2
         epochs = int(t // r["size"]) if r["size"] else 0
         plan.append({"s": r["__s"], "size": int(r["size"]), "n": r["n"], "target": float(t), "bits": blocks.bit_length() - 1, "epochs": epochs, "rest": int(round(t - epochs * r["size"]))})
@@ -115,7 +122,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         more = {s: min(12, max(1, int(np.ceil(np.log2(c["n"] / BLOCK_ROWS)))), 60 - c["bits"]) for s, c in wide.items()}
         frame = local_frame(spark, [(s, c["bits"], c["prefix"], more[s], c["rest"]) for s, c in wide.items()], "__s string, __bits int, __p long, __more int, rest long")
         inner = slim.join(frame, "__s").where(F.expr("(CASE WHEN __bits > 0 THEN shiftrightunsigned(__h, 64 - __bits) ELSE 0L END) = __p")).withColumn("__b", F.expr("shiftrightunsigned(__h, 64 - __bits - __more)"))
-        sub = inner.groupBy("__s", "__b").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"), F.first("rest").alias("rest")).withColumn("upto", F.sum("words").over(order))
+        units = inner.groupBy("__s", "__h", "__b").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+        sub = units.groupBy("__s", "__b").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("n"), F.first("rest").alias("rest")).withColumn("upto", F.sum("words").over(order))
         found = {r["__s"]: r for r in sub.where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") <= F.col("rest"))).collect()}
         for s in wide:
             r = found.get(s)
@@ -124,18 +132,21 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
                 continue
             before = cells[s]
             cells[s] = {"bits": before["bits"] + more[s], "prefix": int(r["__b"]), "rest": int(r["rest"] - (r["upto"] - r["words"])), "n": r["n"], "from": before.get("from", before["prefix"] << (64 - before["bits"]) if before["bits"] else 0)}
-    # Rows of the last cuts, repeated ones as one, from the largest down while they fit.
+    # Units of the last cuts, from the largest row down while rows fit.
+    part: list[tuple[str, int, int]] = []
     if cells:
         frame = local_frame(spark, [(s, c["bits"], c["prefix"], c["rest"]) for s, c in cells.items()], "__s string, __bits int, __p long, rest long")
         last = slim.join(frame, "__s").where(F.expr("(CASE WHEN __bits > 0 THEN shiftrightunsigned(__h, 64 - __bits) ELSE 0L END) = __p"))
-        units = last.groupBy("__s", "__h").agg(F.sum("size").alias("w"), F.first("rest").alias("rest"))
+        units = last.groupBy("__s", "__h").agg(F.first("size").alias("w"), F.count(F.lit(1)).alias("m"), F.first("rest").alias("rest"))
         fill = F.expr(
-            "aggregate(array_sort(collect_list(struct(-w AS w, __h AS h))), struct(first(rest) AS left, CAST(array() AS array<bigint>) AS hs), "
-            "(acc, x) -> IF(acc.left > 0 AND x.w + acc.left >= 0, struct(acc.left + x.w AS left, array_append(acc.hs, x.h) AS hs), acc), acc -> acc.hs)"
+            "aggregate(array_sort(collect_list(struct(-w AS w, __h AS h, m AS m))), struct(first(rest) AS left, CAST(array() AS array<struct<h:bigint,k:bigint,m:bigint>>) AS hs), "
+            "(acc, x) -> IF(x.w < 0 AND x.w + acc.left >= 0, struct(acc.left + x.w * least(x.m, acc.left div -x.w) AS left, array_append(acc.hs, struct(x.h AS h, least(x.m, acc.left div -x.w) AS k, x.m AS m)) AS hs), acc), acc -> acc.hs)"
         )
-        extra = units.groupBy("__s").agg(fill.alias("hs")).select("__s", F.explode("hs").alias("__h"), F.lit(1).alias("__picked"))
+        extra = checkpointed(units.groupBy("__s").agg(fill.alias("hs")).select("__s", F.explode("hs").alias("x")).select("__s", F.col("x.h").alias("__h"), F.col("x.k").alias("__picked"), F.col("x.m").alias("__m")))
+        part = [(r["__s"], r["__h"], r["__picked"]) for r in extra.where("__picked < __m").collect()]  # a few for each source
+        extra = extra.drop("__m")
     else:
-        extra = local_frame(spark, [], "__s string, __h long, __picked int")
+        extra = local_frame(spark, [], "__s string, __h long, __picked long")
     # The tree: runs of blocks of every shard.
     tree = split_quotas(np.array(quotas, np.int64), shards, np.random.default_rng(seed)) if plan else np.zeros((shards, 0), np.int64)
     upto = np.cumsum(tree, axis=0)
@@ -144,6 +155,13 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     runs_schema = "__s string, __full long, __runs array<bigint>, __tail long, __tail_bits int"
     runs_rows = local_frame(spark, [(p["s"], p["full"], r, t[1], t[2]) for p, r, t in zip(plan, runs, tail, strict=True)], runs_schema)
     out = placed.join(runs_rows, "__s").join(extra, ["__s", "__h"], "left")
+    if part:
+        # Equal rows of which only some are taken are counted, and told apart by number.
+        few = F.broadcast(local_frame(spark, [x[:2] for x in part], "__s string, __h long"))
+        names = out.columns
+        told = out.join(few, ["__s", "__h"], "left_semi").groupBy(*[c for c in names if c != "__runs"]).agg(F.first("__runs").alias("__runs"), F.count(F.lit(1)).alias("__n"))
+        told = told.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).withColumn("__picked", F.when(F.col("__i") <= F.col("__picked"), F.col("__picked")))
+        out = out.join(few, ["__s", "__h"], "left_anti").select(names).unionByName(told.select(names))
     # In the edge block, rows before the last cut are taken whole; those of the last cut only if picked.
     cell = F.expr("CASE WHEN __tail_bits > 0 THEN shiftrightunsigned(__h, 64 - __tail_bits) ELSE 0L END")
     in_rest = (F.col("__b") < F.col("__full")) | ((F.col("__b") == F.col("__full")) & F.coalesce((cell < F.col("__tail")) | F.col("__picked").isNotNull(), F.lit(False)))
@@ -156,15 +174,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row as often as it is drawn, with `shard` and `position`, in shuffled order within shards.
+    """The mix itself: every row as often as it is drawn, with `shard` and `position`, shuffled within shards.
 
-    Sorting by (shard, position) gives the order in which each shard reads its rows.  Columns of docs keep their
-    values; only those named shard or position are replaced.
+    Shards are dealt to partitions in CELLS parts each, by the leading bits of the position, and every partition is
+    sorted by (shard, position): that order is the shuffle.  Columns of docs keep their values; only those named
+    shard or position are replaced.
     """
     cols = [c for c in docs.columns if c not in ("shard", "position")]
     aside = {c: f"__own_{c}" for c in cols if c in ("size", "source_size", "target", "taken", "draws")}
     out = mix(docs.select(*cols).withColumnsRenamed(aside), **options).select(*[F.col(aside.get(c, c)).alias(c) for c in cols], F.explode("draws").alias("__d"))
-    return out.select(*cols, F.col("__d.shard").alias("shard"), F.col("__d.position").alias("position"))
+    out = out.select(*cols, F.col("__d.shard").alias("shard"), F.col("__d.position").alias("position"))
+    cell = F.expr(f"shiftrightunsigned(position, 64 - {CELL_BITS})")
+    return out.repartition("shard", cell).sortWithinPartitions("shard", "position")
 
 
 def op1_mix(spark, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.cluster import trim
 from quarry.llm.textblocks import U64, blocks, lower, mix, span_hashes, window_hashes
 
 #: Labelled rows that a classifier is fitted on at most, half of each label (those of least hash).
@@ -75,16 +76,19 @@ PREFIXES = (4, 5, 6, 7, 8)
 
 
 def word_features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, 1) of each lower-cased word and of its first bytes, PREFIXES. Keys may repeat within a row."""
+    """(row, key, 1) of each lower-cased word and of its first bytes, PREFIXES. Keys may repeat within a row.
+
+    The last three bits of a key tell what it stands for: 0 a word, i a beginning of PREFIXES[i - 1] bytes.
+    """
     data = lower(data)
     starts, ends, first = tokens(data, offs)
     letters = _CLASS[data[starts]] == 1 if len(starts) else np.zeros(0, bool)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))[letters]
     starts, ends = starts[letters], ends[letters]
-    keys, rows = [span_hashes(data, starts, ends)], [row]
-    for n in PREFIXES:
+    keys, rows = [span_hashes(data, starts, ends) & ~U64(7)], [row]
+    for i, n in enumerate(PREFIXES, 1):
         long = ends - starts > n
-        keys.append(mix(span_hashes(data, starts[long], starts[long] + n) ^ U64(n)))
+        keys.append(mix(span_hashes(data, starts[long], starts[long] + n) ^ U64(n)) & ~U64(7) | U64(i))
         rows.append(row[long])
     key = np.concatenate(keys)
     return np.concatenate(rows), key, np.ones(len(key))
@@ -208,6 +212,7 @@ def sample_features(sample: DataFrame, features: Features, once: bool) -> tuple[
                     keys.append(k.tobytes())
                     vals.append(v.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([ids, ys, pa.array(keys, pa.binary()), pa.array(vals, pa.binary())], names=["doc_id", "label", "keys", "vals"])
+        trim()
 
     got = sample.select("doc_id", "label", "text").mapInArrow(run, schema).toArrow().sort_by("doc_id")
     keys = [np.frombuffer(k.as_buffer(), U64) for k in got["keys"]]
@@ -216,7 +221,7 @@ def sample_features(sample: DataFrame, features: Features, once: bool) -> tuple[
 
 
 def score(docs: DataFrame, model: Model, features: Features, text: str = "text", name: str = "score") -> DataFrame:
-    """Append `score`, the probability of label 1, to every row: a sparse dot product over the whole text."""
+    """Append `name`, the probability of label 1, to every row: a sparse dot product over the whole text."""
     cols = [c for c in docs.columns if c != name]
     out = docs.select(*cols, F.col(text).alias("__text"))
     schema = docs.select(*cols).schema.add(name, "double")
@@ -228,5 +233,12 @@ def score(docs: DataFrame, model: Model, features: Features, text: str = "text",
             for _, data, offs in blocks(batch.column(batch.num_columns - 1)):
                 got.append(sigmoid(shared.value.logits(*features(data, offs), len(offs) - 1)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(got))], names=schema.names)
+        trim()
 
     return out.mapInArrow(run, schema)
+
+
+def scored(docs: DataFrame, model: Model, features: Features, text: str, fold: int, folds: int, threshold: float, names: tuple[str, str, str]) -> DataFrame:
+    """Append to docs, under the given names, the score, whether it reaches the threshold (int), and whether the row is held out."""
+    value, predicted, held = names
+    return score(docs.drop(predicted, held), model, features, text, value).withColumns({predicted: (F.col(value) >= threshold).cast("int"), held: held_out("doc_id", fold, folds)})

@@ -1,18 +1,21 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier on posterior labels.
 
-1. Voters.  A public list of insults and a few patterns vote without any label.  Further lexicons are mined:
-   candidates are words and word beginnings of a bounded sample of labelled training rows, and those stay that are
-   far more frequent in toxic than in clean texts over all training rows; they are dealt to LEXICONS disjoint lists
-   by their hash.  The label of a training row is one more voter.
-2. Label model.  The votes of *all* texts are counted by pattern (at most 2**voters rows).  Expectation
-   maximisation estimates the class prior and, for each voter, how often it fires in either class.  Correlations
-   between voters given the class are estimated from the same counts, and the evidence of a voter is divided by
-   one plus the sum of its correlations, so that voters that repeat each other do not count twice.
-3. Classifier.  The sample's posterior labels train a sparse logistic regression (FTRL) on words and word
-   beginnings, each counted once a text; every whole text is scored by it.
-
-A null or empty text has no votes and gets the score of the bias; repeated rows get equal scores; without any
-labels only the public voters speak.
+1. Voters.  A public list of insults and a few patterns vote without any label.  Three further lexicons of different
+   make are mined: whole words, short and long word beginnings.  Their candidates come from a bounded sample of
+   labelled training rows, and those stay that are far more frequent in toxic than in clean texts over all training
+   rows.  One more voter asks for several different words of the word lists.  The label of a training row is a voter
+   too, which may err.
+2. Label model.  The votes of *all* texts are counted by pattern (at most 3 * 2**voters rows).  Expectation
+   maximisation fits the class prior and, for either class, a log-linear model of the votes with one weight for each
+   voter and one for each pair whose votes are correlated within a class.  With few voters all 2**voters states are
+   summed, so likelihoods, accuracies and correlations are exact.  The label voter has two rates of its own.
+3. Classifier.  Posterior labels of a bounded sample of *all* texts, labelled or not, train a sparse logistic
+   regression (FTRL) on words and word beginnings, each counted once a text; every whole text is scored by it.  Of
+   all words and beginnings those are features that the posteriors, not the lexicons, show to be telling.
+
+A null or empty text has no votes and gets the score of the bias; repeated rows get equal scores, ties are broken by
+hashes and ids; without any labels only the public voters speak.  An empty table stays empty.  Very long texts form
+a block of their own.  Columns of docs that are named like those appended give way to them.
 """
 
 from __future__ import annotations
@@ -21,20 +24,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from quarry.llm.cluster import checkpointed
-from quarry.llm.linear import Model, class_share, for_share, held_out, labelled_sample, sample_features, score, train_ftrl, training_labels, word_features
+from quarry.llm.cluster import checkpointed, trim
+from quarry.llm.linear import SAMPLE_ROWS, Model, for_share, labelled_sample, sample_features, scored, train_ftrl, training_labels, word_features
 from quarry.llm.textblocks import U64, blocks, span_hashes
 
 FOLD, FOLDS = 2, 4
 THRESHOLD = 0.3
-#: Mined lexicons, and how much more frequent in toxic texts a key is (log odds) and in how many of them it occurs.
-LEXICONS = 6
+#: How much more frequent in toxic texts a mined key is (log odds) and in how many of them it occurs.
 MINED_LOG_ODDS = 3.0
 MINED_TEXTS = 3
 #: Common insults.
@@ -45,73 +47,136 @@ PATTERNS = {
     "second_person": r"(?i)\b(?:you|your|you're)\s+(?:are\s+)?(?:an?\s+)?(?:idiot|moron|loser|clown|scum|trash|stupid)",
     "shouted": r"\b\p{Lu}{4,}!{2,}",
 }
-_ODDS_ROUNDS = 40
+#: Voters by their bit: lexicons, then `several`, then the patterns.
+LEXICONS = ("insults", "words", "short_beginnings", "long_beginnings")
+VOTERS = (*LEXICONS, "several", *PATTERNS)
+#: Different words of the first two lexicons that `several` asks for.
+SEVERAL = 2
+#: Features of the classifier: texts of the sample that hold one at least, and its least log odds by the posteriors.
+FEATURE_TEXTS = 4
+FEATURE_LOG_ODDS = 2.5
+_ROUNDS = 60
+_PAIRS_FROM = 8
+_CORRELATED = 0.05
 
 
-@dataclass(frozen=True)
-class LabelModel:
-    """prior of class 1; fires[j] = (P(vote j | class 0), P(vote j | class 1)); damp[j] divides the evidence of voter j.
-
-    denies[j]: weight of not voting as evidence against class 1. The mined lists are parts of one lexicon, and texts
-    often hold words of one part only, so their silence counts as that of one voter.
-    """
+def _states(m: int) -> np.ndarray:
+    return (np.arange(1 << m)[:, None] >> np.arange(m) & 1).astype(float)
 
-    prior: float
-    fires: np.ndarray
-    damp: np.ndarray
-    denies: np.ndarray
 
-    def posterior(self, votes: np.ndarray, known: np.ndarray) -> np.ndarray:
-        """Probability of class 1. votes: rows of 0/1; known: which voters had a say (the label voter may be absent)."""
-        f0, f1 = self.fires[:, 0], self.fires[:, 1]
-        on, off = np.log(f1 / f0), np.log((1 - f1) / (1 - f0))
-        evidence = np.where(known, np.where(votes == 1, on, off * self.denies), 0.0) / self.damp
-        return 1.0 / (1.0 + np.exp(-np.clip(np.log(self.prior / (1 - self.prior)) + evidence.sum(1), -40, 40)))
+def _terms(votes: np.ndarray, pairs: list[tuple[int, int]]) -> np.ndarray:
+    """Votes, and products of the votes of pairs."""
+    return np.column_stack([votes, *[votes[:, i] * votes[:, j] for i, j in pairs]])
 
 
-def fit_label_model(votes: np.ndarray, known: np.ndarray, counts: np.ndarray, start: np.ndarray, denies: np.ndarray | None = None, fixed: np.ndarray | None = None) -> LabelModel:
-    """EM over vote patterns. start: first guess of P(class 1) of each pattern, which also fixes which class is which.
+@dataclass(frozen=True)
+class LabelModel:
+    """prior of class 1; weights (2, voters + pairs) of the log-linear model of either class; says: P(label 1 | class)."""
 
-    fixed: patterns that keep their first guess in every round (those of labelled texts), so that the labels anchor the classes.
+    prior: float
+    weights: np.ndarray
+    pairs: list[tuple[int, int]]
+    says: np.ndarray
+
+    @property
+    def voters(self) -> int:
+        return self.weights.shape[1] - len(self.pairs)
+
+    def given(self) -> np.ndarray:
+        """(2, 2**voters): probability of every state of the votes in either class."""
+        e = self.weights @ _terms(_states(self.voters), self.pairs).T
+        p = np.exp(e - e.max(1, keepdims=True))
+        return p / p.sum(1, keepdims=True)
+
+    def fires(self) -> np.ndarray:
+        """(voters, 2): how often each voter votes in either class."""
+        return _states(self.voters).T @ self.given().T
+
+    def correlations(self) -> np.ndarray:
+        """(2, voters, voters): correlations of the votes within either class."""
+        s, out = _states(self.voters), []
+        for p in self.given():
+            mean = p @ s
+            cov = (s * p[:, None]).T @ s - np.outer(mean, mean)
+            sd = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+            out.append(cov / np.outer(sd, sd))
+        return np.array(out)
+
+    def posterior(self, packed: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Probability of class 1 for votes packed in bits and labels 0 or 1 (nan: none)."""
+        e = np.log(np.maximum(self.given()[:, packed], 1e-300)) + np.log([[1 - self.prior], [self.prior]])
+        said = np.where(label == 1, np.log(self.says)[:, None], np.log1p(-self.says)[:, None])
+        e = e + np.where(np.isnan(label), 0.0, said)
+        return 1 / (1 + np.exp(np.clip(e[0] - e[1], -40, 40)))
+
+
+def _fit_weights(w: np.ndarray, terms: np.ndarray, mean: np.ndarray, n: float, ridge: float = 1.0, steps: int = 12) -> np.ndarray:
+    """Weights of the log-linear model whose means of the terms are those observed over n texts: damped Newton steps."""
+
+    def value(w: np.ndarray) -> tuple[float, np.ndarray]:
+        e = terms @ w
+        top = e.max()
+        p = np.exp(e - top)
+        return n * (mean @ w - top - np.log(p.sum())) - ridge / 2 * (w @ w), p / p.sum()
+
+    now, p = value(w)
+    for _ in range(steps):
+        expected = p @ terms
+        slope = n * (mean - expected) - ridge * w
+        curve = n * ((terms * p[:, None]).T @ terms - np.outer(expected, expected)) + ridge * np.eye(len(w))
+        step, scale = np.linalg.solve(curve, slope), 1.0
+        while scale > 1e-4:
+            then, q = value(w + scale * step)
+            if then >= now:
+                break
+            scale /= 2
+        else:
+            break
+        w, p, gain, now = w + scale * step, q, then - now, then
+        if gain < 1e-9 * max(1.0, abs(now)):
+            break
+    return w
+
+
+def fit_label_model(packed: np.ndarray, label: np.ndarray, counts: np.ndarray, voters: int) -> LabelModel:
+    """EM over the counts of vote patterns, packed in bits, with labels 0 or 1 (nan: none).
+
+    The first guess follows the label, or else whether any voter speaks; it fixes which class is which.  Pairs join
+    the model once the votes alone have settled.
     """
-    k = votes.shape[1]
-    denies = np.ones(k) if denies is None else denies
-    fixed = np.zeros(len(votes), bool) if fixed is None else fixed
-    anchors = (denies == 1.0) & fixed.any()  # the label voter is no lexicon that others could repeat
+    says, pairs = np.array([0.02, 0.95]), []
+    weights = np.tile(np.array([[-3.0], [-1.0]]), (1, voters))
     if not len(counts) or counts.sum() == 0:
-        return LabelModel(0.1, np.tile([0.1, 0.5], (k, 1)), np.ones(k), denies)
-    post, weight = start.astype(float), counts.astype(float)
-    model, damp = None, np.ones(votes.shape[1])
-    for turn in range(_ODDS_ROUNDS):
-        fires = np.empty((votes.shape[1], 2))
-        for c, p in ((0, 1 - post), (1, post)):
-            m = (weight * p)[:, None] * known
-            fires[:, c] = ((m * votes).sum(0) + 0.5 * (1 + c)) / (m.sum(0) + 2.0 + c)
-        fires[:, 1] = np.maximum(fires[:, 1], fires[:, 0] * 1.05).clip(1e-4, 1 - 1e-4)  # voters vote for class 1
-        fires[:, 0] = fires[:, 0].clip(1e-5, 0.95 * fires[:, 1])
-        base = fixed if fixed.any() else np.ones(len(post), bool)  # the labels tell the prior where there are any
-        prior = float(np.clip((weight * post)[base].sum() / weight[base].sum(), 1e-3, 0.5))
-        if turn in (5, 15):
-            damp = np.where(anchors, 1.0, _damping(votes, known, weight, post))
-        model = LabelModel(prior, fires, damp, denies)
-        post = np.where(fixed, start, model.posterior(votes, known))
+        return LabelModel(0.1, weights, pairs, says)
+    votes, states = _states(voters)[packed], _states(voters)
+    has, weight = ~np.isnan(label), counts.astype(float)
+    post = np.where(has, np.where(label == 1, 0.95, 0.05), np.where(packed > 0, 0.7, 0.05))
+    for turn in range(_ROUNDS):
+        prior = float(np.clip((weight * post).sum() / weight.sum(), 1e-4, 0.5))
+        if turn == _PAIRS_FROM:
+            pairs = _correlated(votes, weight, post)
+            weights = np.column_stack([weights, np.zeros((2, len(pairs)))])
+        seen, terms = _terms(votes, pairs), _terms(states, pairs)
+        share = (weight * (1 - post), weight * post)
+        weights = np.array([_fit_weights(weights[c], terms, (m @ seen) / max(m.sum(), 1e-9), m.sum()) for c, m in enumerate(share)])
+        yes, all_ = np.array([m[has & (label == 1)].sum() for m in share]), np.array([m[has].sum() for m in share])
+        says = ((yes + np.array([0.2, 9.5])) / (all_ + 10)).clip([1e-3, 0.7], [0.2, 1 - 1e-3])
+        model = LabelModel(prior, weights, pairs, says)
+        post = model.posterior(packed, label)
     return model
 
 
-def _damping(votes: np.ndarray, known: np.ndarray, weight: np.ndarray, post: np.ndarray) -> np.ndarray:
-    """1 + the sum over other voters of the mean correlation within the classes (positive part)."""
-    k = votes.shape[1]
-    total = np.zeros((k, k))
+def _correlated(votes: np.ndarray, weight: np.ndarray, post: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of voters whose votes are correlated within a class."""
+    strong = np.zeros((votes.shape[1], votes.shape[1]))
     for p in (1 - post, post):
         m = weight * p
-        both = known.astype(float)
-        n = np.maximum((both * m[:, None]).T @ both, 1e-9)
-        mean = ((votes * both * m[:, None]).T @ both) / n
-        cov = ((votes * both * m[:, None]).T @ (votes * both)) / n - mean * mean.T
+        n = max(m.sum(), 1e-9)
+        mean = (m @ votes) / n
+        cov = (votes * m[:, None]).T @ votes / n - np.outer(mean, mean)
         sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        total += np.where(n > 20, np.clip(cov / np.outer(sd, sd), 0, 1), 0) / 2
-    np.fill_diagonal(total, 0.0)
-    return 1.0 + np.minimum(total, 0.9).sum(1)
+        strong = np.maximum(strong, np.abs(cov / np.outer(sd, sd)))
+    return [(i, j) for i in range(len(strong)) for j in range(i + 1, len(strong)) if strong[i, j] > _CORRELATED]
 
 
 def lexicon_candidates(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
@@ -151,6 +216,7 @@ def key_hits(docs: DataFrame, keys: np.ndarray, text: str = "text") -> DataFrame
             ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
             hits = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), hits, batch.column(2)], names=schema.names)
+        trim()
 
     return docs.select("doc_id", F.col(text).alias("__text"), bits.cast("int").alias("bits")).mapInArrow(run, schema)
 
@@ -167,71 +233,98 @@ def mined_keys(hits: DataFrame, train: DataFrame, candidates: int) -> np.ndarray
     return np.flatnonzero((counts[1] >= MINED_TEXTS) & (odds >= MINED_LOG_ODDS) & (counts[1] > counts[0]))
 
 
-def votes_of(hits: DataFrame, voter: np.ndarray, lexicons: int) -> DataFrame:
-    """Append `votes` int: bit voter[i] for each hit i (none where voter[i] is negative), and the pattern bits above the lexicons."""
-    shared = hits.sparkSession.sparkContext.broadcast(np.where(voter >= 0, 1 << np.maximum(voter, 0), 0))
+def votes_of(hits: DataFrame, lexicon: np.ndarray) -> DataFrame:
+    """(doc_id, votes int): a bit for each of VOTERS. lexicon[i]: number in LEXICONS of key i, or -1."""
+    shared = hits.sparkSession.sparkContext.broadcast(lexicon)
+    schema = hits.select("doc_id").schema.add("votes", IntegerType())
 
-    @F.pandas_udf("int")
-    def run(rows: pd.Series, bits: pd.Series) -> pd.Series:
-        bit = shared.value
-        own = [int(np.bitwise_or.reduce(bit[np.asarray(h, np.int64)])) if len(h) else 0 for h in rows]
-        return pd.Series(np.array(own, np.int64) | (bits.to_numpy(np.int64) << lexicons)).astype("int32")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = np.append(shared.value, -1)  # no hit is like one of no lexicon
+        for batch in batches:
+            column = batch.column(1)
+            size = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
+            row, kind = np.repeat(np.arange(len(size)), size), lexicon[np.asarray(column.flatten())]
+            votes = np.zeros(len(size), np.int64)
+            for i in range(len(LEXICONS)):
+                votes[row[kind == i]] |= 1 << i
+            words = np.bincount(row[(kind == 0) | (kind == 1)], minlength=len(size))
+            votes |= (words >= SEVERAL).astype(np.int64) << len(LEXICONS)
+            votes |= np.asarray(batch.column(2)).astype(np.int64) << len(LEXICONS) + 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes.astype(np.int32))], names=schema.names)
 
-    return hits.withColumn("votes", run("hits", "bits"))
+    return hits.mapInArrow(run, schema)
 
 
 def _insult_keys() -> np.ndarray:
     raw = [w.encode() for w in INSULTS]
     data = np.frombuffer(b"".join(raw), np.uint8)
     ends = np.cumsum([len(w) for w in raw])
-    return np.sort(span_hashes(data, ends - [len(w) for w in raw], ends))
+    return np.sort(span_hashes(data, ends - [len(w) for w in raw], ends) & ~U64(7))
+
 
+def lexicons_of(keys: np.ndarray, mined: np.ndarray, insults: np.ndarray) -> np.ndarray:
+    """Number in LEXICONS of each key, -1 for candidates that are not mined."""
+    kind = (keys & U64(7)).astype(np.int64)
+    out = np.full(len(keys), -1)
+    out[mined] = np.select([kind[mined] == 0, kind[mined] <= 2], [1, 2], 3)
+    out[np.isin(keys, insults)] = 0
+    return out
 
-def _unpacked(votes: np.ndarray, label: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Votes and who had a say, with the label (nan: none) as the last voter."""
-    v = (votes[:, None] >> np.arange(n) & 1).astype(float)
-    has = ~np.isnan(label)
-    return np.column_stack([v, np.where(has, label, 0.0)]), np.column_stack([np.ones_like(v, bool), has])
 
+def posterior_sample(docs: DataFrame, voted: DataFrame, seen: list, post: np.ndarray, text: str, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, label, text) of at most `rows` of all texts, half of them with a posterior above 1/2, those of least hash.
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int = FOLD, folds: int = FOLDS) -> tuple[Model, LabelModel]:
+    seen: (votes, y) of each pattern, post: its posterior, which becomes the label.
+    """
+    spark = docs.sparkSession
+    known = spark.createDataFrame([(int(r[0]), float(r[1]), float(p)) for r, p in zip(seen, post, strict=True)], "votes int, y double, __post double")  # at most 3 * 2**voters rows
+    met = voted.where("doc_id IS NOT NULL").join(F.broadcast(known), ["votes", "y"]).select(F.col("doc_id").alias("__id"), "__post")
+    half = [met.where(part).orderBy(F.xxhash64(F.lit(13), "__id"), "__id").limit(rows // 2) for part in ("__post > 0.5", "__post <= 0.5")]
+    least = half[0].union(half[1]).groupBy("__id").agg(F.max("__post").alias("label"))
+    found = docs.select(F.col("doc_id").alias("__id"), F.col(text).alias("__text")).join(least, "__id")
+    return found.groupBy("__id").agg(F.first("label").alias("label"), F.min("__text").alias("text")).withColumnRenamed("__id", "doc_id")
+
+
+def telling(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The rows with those keys only that FEATURE_TEXTS rows hold and whose log odds by the posteriors reach FEATURE_LOG_ODDS."""
+    if not rows:
+        return rows
+    keys, at, n = np.unique(np.concatenate([k for k, _ in rows]), return_inverse=True, return_counts=True)
+    toxic = np.bincount(at, np.repeat(target, [len(k) for k, _ in rows]), len(keys))
+    n1, n0 = target.sum(), len(target) - target.sum()
+    odds = np.log((toxic + 0.1) / (n1 - toxic + 0.1)) - np.log((n - toxic + 0.1) / (n0 - n + toxic + 0.1))
+    keys = keys[(n >= FEATURE_TEXTS) & (odds >= FEATURE_LOG_ODDS)]
+    stay = [np.isin(k, keys, assume_unique=True) for k, _ in rows]
+    return [(k[x], v[x]) for (k, v), x in zip(rows, stay, strict=True)]
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", fold: int = FOLD, folds: int = FOLDS) -> tuple[Model, LabelModel]:
     """The classifier and the label model."""
-    sample = labelled_sample(docs, labels, label, fold, folds)
-    ids, y, rows = sample_features(sample, word_features, once=True)
+    _, y, rows = sample_features(labelled_sample(docs, labels, label, fold, folds, text=text), word_features, once=True)
     train = training_labels(labels, label, fold, folds).withColumnsRenamed({"__id": "doc_id", "label": "__y"})
-    found, insults = lexicon_candidates(rows, y), _insult_keys()
-    keys = np.unique(np.concatenate([found, insults]))
+    insults = _insult_keys()
+    keys = np.unique(np.concatenate([lexicon_candidates(rows, y), insults]))
+    del rows
     # One pass over all texts: which candidates each holds. Lexicons and votes follow from that.
-    hits = checkpointed(key_hits(docs, keys))
-    mined = mined_keys(hits, train, len(keys))
-    voter = np.full(len(keys), -1)
-    voter[mined] = 1 + (keys[mined] % U64(LEXICONS)).astype(int)
-    voter[np.isin(keys, insults)] = 0
-    n = 1 + LEXICONS + len(PATTERNS)
-    voted = votes_of(hits, voter, 1 + LEXICONS).join(train, "doc_id", "left")
-    seen = voted.groupBy("votes", F.coalesce("__y", F.lit(-1.0)).alias("y")).count().collect()
+    hits = checkpointed(key_hits(docs, keys, text))
+    lexicon = lexicons_of(keys, mined_keys(hits, train, len(keys)), insults)
+    voted = votes_of(hits, lexicon).join(train, "doc_id", "left").select("doc_id", "votes", F.coalesce((F.col("__y") > 0.5).cast("double"), F.lit(-1.0)).alias("y"))
+    seen = [tuple(r) for r in voted.groupBy("votes", "y").count().collect()]
     packed, given, counts = (np.array([r[i] for r in seen]) for i in range(3)) if seen else (np.zeros(0, int), np.zeros(0), np.zeros(0))
     given = np.where(given < 0, np.nan, given.astype(float))
-    votes, known = _unpacked(packed.astype(np.int64), given, n)
-    guess = np.where(np.isnan(given), np.where(votes[:, :n].sum(1) > 0, 0.9, 0.05), np.where(given > 0.5, 0.98, 0.02))
-    model = fit_label_model(votes, known, counts, guess, np.append(np.full(n, 1 / n), 1.0), ~np.isnan(given))
-    # The sample's own votes, from its features and patterns, give its posterior labels.
-    own = {r["doc_id"]: r["votes"] for r in votes_of(key_hits(sample, keys), voter, 1 + LEXICONS).select("doc_id", "votes").collect()}
-    packed = np.array([own[type(next(iter(own)))(i)] for i in ids], np.int64) if len(ids) else np.zeros(0, np.int64)
-    target = model.posterior(*_unpacked(packed, y, n))
-    useful = keys[voter >= 0]
-    slim = []
-    for k, v in rows:
-        hit = np.isin(k, useful, assume_unique=True)
-        slim.append((k[hit], v[hit]))
-    fitted = train_ftrl(slim, target, once=True, epochs=8, alpha=3.0, l1=0.02, l2=0.002)
-    return for_share(fitted, target, class_share(labels, label, fold, folds)), model
-
-
-def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int = FOLD, folds: int = FOLDS, threshold: float = THRESHOLD) -> DataFrame:
-    """Append score (0 to 1, toxic likelier the higher), predicted and held_out to docs."""
-    model, _ = fit_toxicity(docs, labels, label, fold, folds)
-    return score(docs, model, word_features).withColumns({"predicted": (F.col("score") >= threshold).cast("int"), "held_out": held_out("doc_id", fold, folds)})
+    model = fit_label_model(packed.astype(np.int64), given, counts, len(VOTERS))
+    if not seen:
+        return Model(np.zeros(0, U64), np.zeros(0), float(np.log(model.prior / (1 - model.prior))), True), model
+    post = model.posterior(packed.astype(np.int64), given)
+    _, target, rows = sample_features(posterior_sample(docs, voted, seen, post, text), word_features, once=True)
+    fitted = train_ftrl(telling(rows, target), target, once=True, epochs=8, alpha=1.0, l1=3.0, l2=0.1)
+    return for_share(fitted, target, float(np.clip((post * counts).sum() / counts.sum(), 1e-4, 0.5))), model
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", fold: int = FOLD, folds: int = FOLDS, threshold: float = THRESHOLD, names: tuple[str, str, str] = ("score", "predicted", "held_out")) -> DataFrame:
+    """Append score (0 to 1, toxic likelier the higher), predicted and held_out to docs, under `names`."""
+    model, _ = fit_toxicity(docs, labels, label, text, fold, folds)
+    return scored(docs, model, word_features, text, fold, folds, threshold, names)
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -3,10 +3,15 @@
 The pieces of a text (matches of the split pattern) are encoded once per distinct piece and process: pieces
 that no cache holds are put in matrices by length, one row a piece, padded with -1.  In each round every row
 merges its leftmost pair of least rank; ranks of pairs come from an open hash table in numpy, and the row is
-compacted.  Rows without a mergeable pair leave the matrix.  Pieces longer than LONG_PIECE bytes would need as
-many rounds as bytes, so a heap over a linked list merges those, with the same result.
+compacted.  Rows without a mergeable pair leave the matrix.  Pieces longer than LONG_PIECE bytes (runs without any
+split, in none of the test tables' prose) would need as many rounds as bytes over rows as long, quadratic work, so a
+heap over a linked list merges those, with the same result.
 
-Nulls count as empty texts; an empty text has no ids.  Extra columns pass through untouched.
+A piece that is a token as a whole is merged like others: in the vocabularies of byte pairs that this is for, every
+token is what its own bytes merge to; ByteBPE.whole() checks that, and pieces of tokens that fail it are looked up.
+
+Nulls count as empty texts; an empty text has no ids.  Repeated rows get the same ids, an empty table stays empty, a
+very long text is split by itself.  Extra columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.cluster import trim
+
 #: Distinct pieces that a task keeps; beyond this number the cache starts anew.
 CACHE_PIECES = 200_000
 #: Bytes from which a piece is merged by the heap.
@@ -57,6 +64,7 @@ class ByteBPE:
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self._fill(np.array(pairs or [(0, 0, 0)], np.int64)[: len(pairs)])
+        self.exceptions = self.whole()
 
     def _fill(self, pairs: np.ndarray) -> None:
         """Open addressing: keys that find their slot taken move on by one until all have a place."""
@@ -74,6 +82,23 @@ class ByteBPE:
             self.values[slot[placed]] = value[placed]
             key, value, slot = key[~placed], value[~placed], (slot[~placed] + 1) & self.mask
 
+    def whole(self) -> dict[str, bytes]:
+        """Tokens that their own bytes do not merge to; as whole pieces they still are one token."""
+        names = [t for t in self.ranks if len(t) > 1]
+        out: dict[str, bytes] = {}
+        size = np.array([len(t) for t in names], np.int64)
+        for n in np.unique(size).tolist():
+            part = [names[i] for i in np.flatnonzero(size == n)]
+            for at in range(0, len(part), max(1, MATRIX_CELLS // n)):
+                some = part[at : at + max(1, MATRIX_CELLS // n)]
+                for t, k in zip(some, self._merge_matrix(some, n)[1].tolist(), strict=True):
+                    if k != 1:
+                        try:
+                            out[t.decode()] = np.array([self.ranks[t]], "<u4").tobytes()
+                        except UnicodeDecodeError:
+                            pass  # pieces are texts
+        return out
+
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
 
@@ -196,6 +221,7 @@ class ByteBPE:
                 new.update(s)
             new.difference_update(cache)
             cache.update(self.encode_pieces(new))
+            cache.update({p: self.exceptions[p] for p in new & self.exceptions.keys()} if self.exceptions else {})
             for s in split:
                 yield b"".join(map(cache.__getitem__, s))
             at = to
@@ -256,7 +282,9 @@ def round_trip(docs: DataFrame, keep: list[str], path: str | None = None, patter
     """Columns `keep`, then n_tokens and SHA-256 of the ids (little-endian 32 bits) and of the decoded bytes.
 
     Encodes and decodes in one pass over the text, so that ids leave the worker only if asked for (column ids).
+    Columns of docs that are named like those appended give way to them.
     """
+    keep = [c for c in keep if c not in ("n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] * with_ids))]
     path, pattern = path or _default()[0], pattern or _default()[1]
     kept = docs.select(*keep).schema
     schema = T.StructType([*kept.fields, *T._parse_datatype_string(DIGESTS + ", ids array<int>" * with_ids).fields])
@@ -278,6 +306,7 @@ def round_trip(docs: DataFrame, keep: list[str], path: str | None = None, patter
                 cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), flat))
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
         bpe.cache.clear()  # the worker goes on to other stages
+        trim()
 
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
 

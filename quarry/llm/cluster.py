@@ -28,6 +28,16 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or LOCAL_CHECKPOINTS).rstrip("/")
 
 
+def removed(spark: SparkSession, folder: str, now: bool = True) -> None:
+    """Delete a folder of the shared store, now or when the session's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if now:
+        store.delete(path, True)
+    else:
+        store.deleteOnExit(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it back: later failures restart from there."""
     sc = df.sparkSession.sparkContext

@@ -130,7 +130,7 @@ def test_mix_is_near_its_targets(spark, docs, rows):
 
 def test_mixed_rows_are_the_draws(docs):
     copies = Counter()
-    for r in mixing.mix(docs).collect():
+    for r in mixing.mix(docs.drop("shard").withColumnRenamed("size", "own")).collect():
         copies[(r.doc_id, r.text)] += len(r.draws)
     got = mixing.mixed(docs).collect()
     assert Counter((r.doc_id, r.text) for r in got) == +copies
@@ -151,12 +151,49 @@ def test_targets_reshare_the_excess():
 
 
 def test_mix_of_a_large_block(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MOST_BLOCKS", 2)
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 0)
     df = spark.range(3000).selectExpr("id AS doc_id", "repeat('w ', int(1 + id % 40)) AS text", "if(id % 3 = 0, 'a', 'b') AS source")
     for r in mixing.mix(df).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g")).collect():
         assert abs(r.t - r.g) <= 2
 
 
+@pytest.mark.parametrize("words_each", [100, 7])
+def test_mix_takes_part_of_repeated_rows(spark, words_each):
+    hot = [(1, "w " * words_each, "s", 5)] * 3000
+    rest = [(10 + i, "v " * (1 + i % 90), "t", i) for i in range(197)]
+    df = spark.createDataFrame(hot + rest, "doc_id long, text string, source string, other long").repartition(6)
+    got = mixing.mix(df).collect()
+    assert len(got) == 3197
+    for s in ("s", "t"):
+        rows = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in rows) - rows[0].target) <= max(r.size for r in rows)
+        assert all(r.taken == r.size * len(r.draws) <= 3 * r.size for r in rows)
+    assert multiset(got) == multiset(mixing.mix(df).collect())
+
+
+def test_mix_takes_part_of_all_rows(spark, docs, rows):
+    """Words taken of each source, by an own computation: quota, whole epochs, and no row that would still fit."""
+    df = docs.union(docs).union(docs)
+    got = mixing.mix(df).collect()
+    assert len(got) == 3 * len(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r.source].append(r)
+    for rows_ in by.values():
+        epochs, size = int(rows_[0].target // rows_[0].source_size) if rows_[0].source_size else 0, sum(r.size for r in rows_)
+        taken = sum(r.taken for r in rows_)
+        assert size == rows_[0].source_size and all(len(r.draws) in (epochs, epochs + 1) for r in rows_)
+        left = round(rows_[0].target) - taken
+        assert left >= 0 and left <= max(r.size for r in rows_)
+
+
+def test_mix_is_shuffled_within_shards(docs):
+    out = mixing.mixed(docs)
+    for part in out.rdd.glom().collect():
+        at = [(r.shard, r.position) for r in part]
+        assert at == sorted(at)
+
+
 # 2 and 3
 
 
@@ -218,15 +255,98 @@ def test_ftrl_learns_and_is_sparse():
     assert w[1] > 0.5 and w[2] < -0.5 and len(w) < 480
 
 
-def test_label_model_finds_the_good_voter():
+def plain_ftrl(rows, labels, epochs, alpha, beta, l1, l2):
+    """The update rule, one coordinate at a time."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(k):
+        lam = 0.0 if k == "bias" else l1
+        return 0.0 if abs(z[k]) <= lam else -(z[k] - math.copysign(lam, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    for _ in range(epochs):
+        for i in np.random.default_rng(7).permutation(len(rows)):
+            x = {**dict(zip(rows[i][0].tolist(), rows[i][1].tolist(), strict=True)), "bias": 1.0}
+            w = {k: weight(k) for k in x}
+            p = 1 / (1 + math.exp(-sum(w[k] * v for k, v in x.items())))
+            for k, v in x.items():
+                g = (p - labels[i]) * v
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / alpha * w[k]
+                n[k] += g * g
+    return {k: weight(k) for k in list(z)}
+
+
+@pytest.mark.parametrize("soft", [False, True])
+def test_ftrl_is_the_plain_rule(soft):
+    rng = np.random.default_rng(3)
+    rows = [(np.unique(rng.integers(0, 60, 12)).astype(np.uint64), None) for _ in range(80)]
+    rows = [(k, rng.random(len(k))) for k, _ in rows]
+    y = rng.random(80) if soft else (rng.random(80) < 0.4).astype(float)
+    m = linear.train_ftrl(rows, y, epochs=1, alpha=0.5, beta=1.0, l1=0.05, l2=0.1)
+    want = plain_ftrl(rows, y, 1, 0.5, 1.0, 0.05, 0.1)
+    got = dict(zip(m.keys.tolist(), m.weights.tolist(), strict=True))
+    assert got == pytest.approx({k: w for k, w in want.items() if k != "bias" and w}) and m.bias == pytest.approx(want["bias"])
+
+
+def planted_votes(n=20000):
+    """Votes with known rates, of which the second and the last repeat each other in part; labels of a third of the rows."""
     rng = np.random.default_rng(4)
-    y = rng.random(4000) < 0.2
-    votes = np.column_stack([np.where(y, rng.random(4000) < a, rng.random(4000) < b) for a, b in ((0.9, 0.02), (0.5, 0.05), (0.3, 0.3), (0.8, 0.05), (0.7, 0.03))]).astype(float)
-    votes = np.column_stack([votes, votes[:, 1]])  # a voter that repeats another
-    pat, n = np.unique(votes, axis=0, return_counts=True)
-    m = toxicity.fit_label_model(pat, np.ones_like(pat, bool), n, np.where(pat[:, 0] > 0, 0.9, 0.1))
-    assert m.fires[0, 1] > 0.7 and m.fires[0, 0] < 0.1 and m.fires[2, 1] < 0.5 and m.damp[5] > 1.5 and m.damp[1] > 1.5 and m.damp[0] < 1.5
-    assert abs(m.prior - 0.2) < 0.1
+    y = rng.random(n) < 0.2
+    rates = ((0.9, 0.02), (0.5, 0.05), (0.3, 0.3), (0.8, 0.05))
+    votes = np.column_stack([np.where(y, rng.random(n) < a, rng.random(n) < b) for a, b in rates])
+    votes = np.column_stack([votes, np.where(rng.random(n) < 0.8, votes[:, 1], rng.random(n) < 0.1)])
+    label = np.where(rng.random(n) < 0.33, np.where(rng.random(n) < 0.03, ~y, y).astype(float), np.nan)
+    packed = (votes << np.arange(5)).sum(1)
+    rows = Counter(zip(packed.tolist(), np.where(np.isnan(label), -1, label).tolist(), strict=True))
+    p, g, c = (np.array(x) for x in zip(*[(*k, v) for k, v in sorted(rows.items())], strict=True))
+    return y, votes, packed, label, p, np.where(g < 0, np.nan, g), c
+
+
+def test_label_model_estimates_accuracies_and_correlations():
+    y, votes, packed, label, p, g, c = planted_votes()
+    m = toxicity.fit_label_model(p, g, c, 5)
+    want = np.array([[votes[~y, j].mean(), votes[y, j].mean()] for j in range(5)])
+    assert np.abs(m.fires() - want).max() < 0.05 and abs(m.prior - 0.2) < 0.02 and abs(m.says[1] - 0.97) < 0.02
+    real = np.array([np.corrcoef(votes[k].T) for k in (~y, y)])
+    assert (1, 4) in m.pairs and np.abs(m.correlations() - real).max() < 0.15
+    assert ((m.posterior(packed, label) > 0.5) == y).mean() > 0.97
+
+
+def test_posterior_is_bayes():
+    _, _, _, _, p, g, c = planted_votes(4000)
+    m = toxicity.fit_label_model(p, g, c, 5)
+    for k, lab in itertools.product(range(32), (0.0, 1.0, float("nan"))):
+        v = [k >> j & 1 for j in range(5)]
+        joint = []
+        for y, prior in ((0, 1 - m.prior), (1, m.prior)):
+            energy = lambda s, y=y: math.exp(sum(w * t for w, t in zip(m.weights[y], [*s, *[s[i] * s[j] for i, j in m.pairs]], strict=True)))
+            z = sum(energy(s) for s in itertools.product((0, 1), repeat=5))
+            joint.append(prior * energy(v) / z * (1 if math.isnan(lab) else m.says[y] if lab else 1 - m.says[y]))
+        assert m.posterior(np.array([k]), np.array([lab]))[0] == pytest.approx(joint[1] / sum(joint))
+
+
+def test_fitting_raises_the_likelihood():
+    _, _, _, _, p, g, c = planted_votes(4000)
+
+    def likelihood(m):
+        both = m.given()[:, p] * np.array([[1 - m.prior], [m.prior]]) * np.where(np.isnan(g), 1, np.where(g == 1, m.says[:, None], 1 - m.says[:, None]))
+        return (c * np.log(both.sum(0))).sum()
+
+    fitted = toxicity.fit_label_model(p, g, c, 5)
+    best = likelihood(fitted)
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        near = toxicity.LabelModel(fitted.prior, fitted.weights + rng.normal(0, 0.05, fitted.weights.shape), fitted.pairs, fitted.says)
+        assert likelihood(near) < best + 1
+
+
+def test_classifier_columns_of_the_same_names(labelled):
+    docs, labels = labelled
+    for run in (quality.quality_scores, toxicity.toxicity_scores):
+        extra = docs.limit(50).withColumns({"score": F.lit(7.0), "predicted": F.lit(5), "held_out": F.lit("x")})
+        out = run(extra, labels)
+        assert sorted(out.columns) == ["doc_id", "held_out", "predicted", "score", "text"] and out.where("score > 1 OR predicted > 1").isEmpty()
+        own = run(extra, labels, names=("a", "b", "c"))
+        assert own.where("score = 7 AND predicted = 5 AND held_out = 'x' AND a < 1").count() == 50
 
 
 # 4

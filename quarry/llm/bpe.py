@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.cluster import trim
+from quarry.llm.textblocks import slices
 
 #: Distinct pieces that a task keeps; beyond this number the cache starts anew.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 100_000
 #: Bytes from which a piece is merged by the heap.
 LONG_PIECE = 192
 #: Cells of one matrix.
@@ -291,7 +292,7 @@ def round_trip(docs: DataFrame, keep: list[str], path: str | None = None, patter
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, pattern)
-        for batch in batches:
+        for batch in slices(batches, -1):
             n, a, b, ids = [], [], [], []
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             for x in bpe.encode_batch(texts):

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from quarry.llm import exchange as X
 from quarry.llm.cluster import BATCH, checkpointed, in_batches, lean, text_bytes, trim
 from quarry.llm.linear import held_out
-from quarry.llm.textblocks import U64, blocks, lower, span_hashes, words
+from quarry.llm.textblocks import U64, blocks, lower, slices, span_hashes, words
 
 STATES = 8
 #: A power of two. The last class is that of the end.
@@ -185,7 +185,7 @@ def class_runs(docs: DataFrame, doc_id: str, text: str, fold: int, folds: int) -
     """(kinds binary): the classes of each training text, its end included, as 16-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 0):
             out = [np.zeros(0, np.int16)]
             cuts = [np.zeros(1, np.int64)]
             for _, data, offs in blocks(batch.column(0)):

@@ -27,14 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import exchange as X
 from quarry.llm.cluster import BATCH, checkpointed, in_batches, lean, text_bytes, trim
 from quarry.llm.components import Forest, components
-from quarry.llm.textblocks import U64, blocks, lower, mix, rows_of, span_hashes, whole_windows, window_hashes, words
+from quarry.llm.textblocks import U64, blocks, lower, mix, rows_of, slices, span_hashes, whole_windows, window_hashes, words
 
 SHINGLE = 5
 #: A link needs PERCENT * union <= 100 * intersection.
@@ -101,7 +100,7 @@ def classes(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in slices(batches, 1):
             n, a, b, first = [], [], [], []
             for _, data, offs in blocks(batch.column(1)):
                 sets = shingle_sets(data, offs, k)
@@ -114,7 +113,7 @@ def classes(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
                 b += h2
             if len(seen) > SEEN:
                 seen.clear()
-            texts = pa.compute.if_else(pa.array(first, pa.bool_()), batch.column(1), pa.scalar(None, batch.column(1).type))
+            texts = batch.column(1).take(pa.array(np.arange(len(first)), mask=~np.array(first, bool)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), texts], names=schema.names)
         seen.clear()
         trim()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.cluster import trim
-from quarry.llm.textblocks import U64, blocks, lower, mix, span_hashes, window_hashes
+from quarry.llm.textblocks import U64, blocks, lower, mix, slices, span_hashes, window_hashes
 
 #: Labelled rows that a classifier is fitted on at most, half of each label (those of least hash).
 SAMPLE_ROWS = 4096
@@ -198,7 +198,7 @@ def sample_features(sample: DataFrame, features: Features, once: bool) -> tuple[
     schema = "doc_id string, label double, keys binary, vals binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             ids, ys = batch.column(0).cast(pa.string()), batch.column(1)
             keys, vals = [], []
             for _, data, offs in blocks(batch.column(2)):
@@ -228,7 +228,7 @@ def score(docs: DataFrame, model: Model, features: Features, text: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(model)  # non-zero weights of a bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, -1):
             got = [np.zeros(0)]
             for _, data, offs in blocks(batch.column(batch.num_columns - 1)):
                 got.append(sigmoid(shared.value.logits(*features(data, offs), len(offs) - 1)))

@@ -6,7 +6,7 @@ blocks: no Python statement runs once per word.  Nulls are read as empty texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,17 @@ def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iter
         row += len(chunk)
 
 
+def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = 2 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices of about `limit` bytes of the text in a column, one row at least."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto, at = np.concatenate([[0], np.cumsum(size)]), 0
+        while at < len(size):
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + limit, "right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     """A-Z become a-z; all other bytes stay."""
     return _LOWER[data]

@@ -26,13 +26,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from quarry.llm.cluster import checkpointed, trim
 from quarry.llm.linear import SAMPLE_ROWS, Model, for_share, labelled_sample, sample_features, scored, train_ftrl, training_labels, word_features
-from quarry.llm.textblocks import U64, blocks, span_hashes
+from quarry.llm.textblocks import U64, blocks, slices, span_hashes
 
 FOLD, FOLDS = 2, 4
 THRESHOLD = 0.3
@@ -54,7 +54,7 @@ VOTERS = (*LEXICONS, "several", *PATTERNS)
 SEVERAL = 2
 #: Features of the classifier: texts of the sample that hold one at least, and its least log odds by the posteriors.
 FEATURE_TEXTS = 4
-FEATURE_LOG_ODDS = 2.5
+FEATURE_LOG_ODDS = 1.0
 _ROUNDS = 60
 _PAIRS_FROM = 8
 _CORRELATED = 0.05
@@ -179,19 +179,42 @@ def _correlated(votes: np.ndarray, weight: np.ndarray, post: np.ndarray) -> list
     return [(i, j) for i in range(len(strong)) for j in range(i + 1, len(strong)) if strong[i, j] > _CORRELATED]
 
 
-def lexicon_candidates(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
+def key_sums(sample: DataFrame) -> DataFrame:
+    """(key, toxic, n): of each word and beginning the texts of a sample (doc_id, label, text) that hold it, and their labels' sum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            label, got = np.asarray(batch.column(0)), [(np.zeros(0, U64), np.zeros(0))]
+            for first, data, offs in blocks(batch.column(1)):
+                row, key, _ = word_features(data, offs)
+                order = np.lexsort((key, row))
+                row, key = row[order], key[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+                got.append((key[new], label[first + row[new]]))
+            key, y = (np.concatenate(x) for x in zip(*got, strict=True))
+            keys, at, n = np.unique(key, return_inverse=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.bincount(at, y, len(keys))), pa.array(n)], names=["key", "toxic", "n"])
+        trim()
+
+    return sample.select("label", "text").mapInArrow(run, "key long, toxic double, n long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+
+
+def _keys(found: DataFrame) -> np.ndarray:
+    return np.sort(np.array([r["key"] for r in found.select("key").collect()], np.int64).view(U64))
+
+
+def _sizes(sample: DataFrame) -> tuple[float, float]:
+    r = sample.agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n")).first()
+    return float(r["toxic"] or 0), float(r["n"] - (r["toxic"] or 0))
+
+
+def lexicon_candidates(sample: DataFrame) -> np.ndarray:
     """Keys that at least MINED_TEXTS toxic texts of the sample hold and that are more frequent there than in its clean texts."""
-    pos = [k for (k, _), t in zip(rows, y, strict=True) if t >= 0.5]
-    neg = [k for (k, _), t in zip(rows, y, strict=True) if t < 0.5]
-    if not pos or not neg:
+    n1, n0 = _sizes(sample)
+    if not n1 or not n0:
         return np.zeros(0, U64)
-    keys, n = np.unique(np.concatenate(pos), return_counts=True)
-    keys, n = keys[n >= MINED_TEXTS], n[n >= MINED_TEXTS]
-    other = np.concatenate(neg)
-    other, m = np.unique(other[np.isin(other, keys)], return_counts=True)
-    at = np.minimum(np.searchsorted(other, keys), max(len(other) - 1, 0))
-    clean = np.where(other[at] == keys, m[at], 0) if len(other) else np.zeros(len(keys))
-    return keys[n / len(pos) > 4 * clean / len(neg)]
+    return _keys(key_sums(sample).where((F.col("toxic") >= MINED_TEXTS) & (F.col("toxic") / n1 > 4 * (F.col("n") - F.col("toxic")) / n0)))
 
 
 def key_hits(docs: DataFrame, keys: np.ndarray, text: str = "text") -> DataFrame:
@@ -204,7 +227,7 @@ def key_hits(docs: DataFrame, keys: np.ndarray, text: str = "text") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = shared.value
         wide = len(keys) + 1
-        for batch in batches:
+        for batch in slices(batches, 1):
             parts, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for _, data, offs in blocks(batch.column(1)):
                 row, key, _ = word_features(data, offs)
@@ -272,39 +295,34 @@ def lexicons_of(keys: np.ndarray, mined: np.ndarray, insults: np.ndarray) -> np.
 
 
 def posterior_sample(docs: DataFrame, voted: DataFrame, seen: list, post: np.ndarray, text: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, label, text) of at most `rows` of all texts, half of them with a posterior above 1/2, those of least hash.
+    """(doc_id, label, text) of at most `rows` of all texts: of those with a label and of those without one, as many with a
+    posterior above 1/2 as others, each time those of least hash.
 
     seen: (votes, y) of each pattern, post: its posterior, which becomes the label.
     """
     spark = docs.sparkSession
     known = spark.createDataFrame([(int(r[0]), float(r[1]), float(p)) for r, p in zip(seen, post, strict=True)], "votes int, y double, __post double")  # at most 3 * 2**voters rows
-    met = voted.where("doc_id IS NOT NULL").join(F.broadcast(known), ["votes", "y"]).select(F.col("doc_id").alias("__id"), "__post")
-    half = [met.where(part).orderBy(F.xxhash64(F.lit(13), "__id"), "__id").limit(rows // 2) for part in ("__post > 0.5", "__post <= 0.5")]
-    least = half[0].union(half[1]).groupBy("__id").agg(F.max("__post").alias("label"))
-    found = docs.select(F.col("doc_id").alias("__id"), F.col(text).alias("__text")).join(least, "__id")
+    met = voted.where("doc_id IS NOT NULL").join(F.broadcast(known), ["votes", "y"]).select(F.col("doc_id").alias("__id"), "__post", "y")
+    order = Window.partitionBy(F.col("y") >= 0, F.col("__post") > 0.5).orderBy(F.xxhash64(F.lit(13), "__id"), "__id")
+    least = met.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= rows // 4).groupBy("__id").agg(F.max("__post").alias("label"))
+    found = docs.select(F.col("doc_id").alias("__id"), F.col(text).alias("__text")).join(F.broadcast(least), "__id")  # `rows` ids at most
     return found.groupBy("__id").agg(F.first("label").alias("label"), F.min("__text").alias("text")).withColumnRenamed("__id", "doc_id")
 
 
-def telling(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The rows with those keys only that FEATURE_TEXTS rows hold and whose log odds by the posteriors reach FEATURE_LOG_ODDS."""
-    if not rows:
-        return rows
-    keys, at, n = np.unique(np.concatenate([k for k, _ in rows]), return_inverse=True, return_counts=True)
-    toxic = np.bincount(at, np.repeat(target, [len(k) for k, _ in rows]), len(keys))
-    n1, n0 = target.sum(), len(target) - target.sum()
-    odds = np.log((toxic + 0.1) / (n1 - toxic + 0.1)) - np.log((n - toxic + 0.1) / (n0 - n + toxic + 0.1))
-    keys = keys[(n >= FEATURE_TEXTS) & (odds >= FEATURE_LOG_ODDS)]
-    stay = [np.isin(k, keys, assume_unique=True) for k, _ in rows]
-    return [(k[x], v[x]) for (k, v), x in zip(rows, stay, strict=True)]
+def telling(sample: DataFrame) -> np.ndarray:
+    """Keys that FEATURE_TEXTS texts of the sample hold and whose log odds by the posteriors reach FEATURE_LOG_ODDS."""
+    n1, n0 = _sizes(sample)
+    t, c = F.col("toxic"), F.col("n") - F.col("toxic")
+    odds = F.log((t + 0.1) / (n1 - t + 0.1)) - F.log((c + 0.1) / (n0 - c + 0.1))
+    return _keys(key_sums(sample).where((F.col("n") >= FEATURE_TEXTS) & (odds >= FEATURE_LOG_ODDS)))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", fold: int = FOLD, folds: int = FOLDS) -> tuple[Model, LabelModel]:
     """The classifier and the label model."""
-    _, y, rows = sample_features(labelled_sample(docs, labels, label, fold, folds, text=text), word_features, once=True)
+    labelled = checkpointed(labelled_sample(docs, labels, label, fold, folds, text=text))
     train = training_labels(labels, label, fold, folds).withColumnsRenamed({"__id": "doc_id", "label": "__y"})
     insults = _insult_keys()
-    keys = np.unique(np.concatenate([lexicon_candidates(rows, y), insults]))
-    del rows
+    keys = np.unique(np.concatenate([lexicon_candidates(labelled), insults]))
     # One pass over all texts: which candidates each holds. Lexicons and votes follow from that.
     hits = checkpointed(key_hits(docs, keys, text))
     lexicon = lexicons_of(keys, mined_keys(hits, train, len(keys)), insults)
@@ -316,8 +334,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", text:
     if not seen:
         return Model(np.zeros(0, U64), np.zeros(0), float(np.log(model.prior / (1 - model.prior))), True), model
     post = model.posterior(packed.astype(np.int64), given)
-    _, target, rows = sample_features(posterior_sample(docs, voted, seen, post, text), word_features, once=True)
-    fitted = train_ftrl(telling(rows, target), target, once=True, epochs=8, alpha=1.0, l1=3.0, l2=0.1)
+    sample = checkpointed(posterior_sample(docs, voted, seen, post, text))
+    useful = docs.sparkSession.sparkContext.broadcast(telling(sample))  # from a bounded sample
+
+    def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, key, value = word_features(data, offs)
+        hit = np.isin(key, useful.value)
+        return row[hit], key[hit], value[hit]
+
+    _, target, rows = sample_features(sample, features, once=True)
+    fitted = train_ftrl(rows, target, once=True, epochs=8, alpha=1.0, l1=3.0, l2=0.1)
+    del rows
+    trim()
     return for_share(fitted, target, float(np.clip((post * counts).sum() / counts.sum(), 1e-4, 0.5))), model
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pandas as pd
@@ -61,32 +62,29 @@ def overlap_scores(df: DataFrame, pred: str, ref: str) -> DataFrame:
     return x.agg(*[F.round(F.avg(f"s.{c}") * 100, 6).alias(c) for c in ("rouge_1", "rouge_2", "rouge_l", "bleu_4")])
 
 
-def average_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Append ranks with ties averaged: counts by value first, so no task ranks all rows."""
+def average_ranks(df: DataFrame, value: str, name: str, group: str) -> DataFrame:
+    """Append ranks within each group, ties averaged; rows whose value is null are dropped.
+
+    Distinct values are counted, numbered by ranges, and summed up in runs, so no task ranks all rows of a group.
+    """
     from quarry.operators.preprocess import ordinal
 
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n")).where(F.col(value).isNotNull())
-    numbered = ordinal(counts, value, name="__i")
-    # Rows before a value: sums of counts, range by range of the numbered distinct values.
-    step = 1024
-    run = numbered.withColumn("__r", F.floor(F.col("__i") / step))
-    inside = run.withColumn("__c", F.sum("__n").over(Window.partitionBy("__r").orderBy("__i")))
-    totals = run.groupBy("__r").agg(F.sum("__n").alias("__t"))
-    before = totals.alias("a").join(totals.alias("b"), F.col("b.__r") < F.col("a.__r"), "left").groupBy(F.col("a.__r").alias("__r")).agg(F.coalesce(F.sum("b.__t"), F.lit(0)).alias("__before"))
-    ranks = inside.join(before, "__r").select(F.col(value), (F.col("__before") + F.col("__c") - (F.col("__n") - 1) / 2).alias(name))
-    return df.join(ranks, value)
+    counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
+    run = ordinal(counts, group, value, name="__i").withColumn("__r", F.floor(F.col("__i") / 1024))
+    upto = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # one row for each 1024 distinct values
+    before = run.groupBy("__r").agg(F.sum("__n").alias("__t")).select("__r", F.coalesce(F.sum("__t").over(upto), F.lit(0)).alias("__before"))
+    inside = run.withColumn("__c", F.sum("__n").over(Window.partitionBy("__r").orderBy("__i"))).join(before, "__r").withColumn("__c", F.col("__c") + F.col("__before"))
+    first = inside.groupBy(group).agg(F.min(F.col("__c") - F.col("__n")).alias("__first"))
+    ranks = inside.join(first, group).select(group, value, (F.col("__c") - F.col("__first") - (F.col("__n") - 1) / 2).alias(name))
+    return df.join(ranks, [group, value])
 
 
 def paired_correlations(df: DataFrame, a: str, b: str, label: str) -> DataFrame:
-    """(measure, pearson, spearman) of four similarities of two vectors against a score."""
+    """(measure, pearson, spearman) of four similarities of two vectors against a score; rows with a null score are left out."""
     x = df.select(F.col(label).cast("double").alias("y"), F.col(a).alias("a"), F.col(b).alias("b"))
     s = x.select("y", cosine(F.col("a"), F.col("b")).alias("cosine"), (-manhattan(F.col("a"), F.col("b"))).alias("manhattan"), (-euclidean(F.col("a"), F.col("b"))).alias("euclidean"), dot(F.col("a"), F.col("b")).alias("dot"))
     long = s.select("y", F.explode(F.create_map(*[v for m in ("cosine", "manhattan", "euclidean", "dot") for v in (F.lit(m), F.col(m))])).alias("measure", "s"))
-    ranked = long
-    for v in ("y", "s"):
-        w = Window.partitionBy("measure").orderBy(v)
-        ties = Window.partitionBy("measure", v)
-        ranked = ranked.withColumn(f"r{v}", F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2)
+    ranked = average_ranks(average_ranks(long, "y", "ry", "measure"), "s", "rs", "measure")
     return ranked.groupBy("measure").agg(F.corr("s", "y").alias("pearson"), F.corr("rs", "ry").alias("spearman"))
 
 
@@ -151,8 +149,17 @@ def multi_box_iou(pred: Column, gold: Column) -> Column:
     return run(pred, gold)
 
 
-def quantile_threshold(value: str, q: float) -> Column:
-    return F.percentile(value, q)
+def quantile_threshold(df: DataFrame, value: str, q: float) -> DataFrame:
+    """One row `t`: the q-quantile of the values that are there, between the two nearest ones; null without any.
+
+    The two are found by their numbers in the order of values, which no task sorts as a whole.
+    """
+    from quarry.operators.preprocess import ordinal
+
+    x = df.select(F.col(value).cast("double").alias("v")).where(F.col(value).isNotNull())
+    at = max(x.count() - 1, 0) * q
+    pair = ordinal(x, "v", name="i").where(F.col("i").isin(int(at), math.ceil(at)))
+    return pair.agg((F.min("v") + (F.max("v") - F.min("v")) * (at - int(at))).alias("t"))
 
 
 def sample_statistics(x: Column, w: Column) -> tuple[Column, Column]:

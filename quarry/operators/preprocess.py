@@ -178,22 +178,49 @@ def rotate_in_batches(df: DataFrame, order: str, value: str, batch: int, name: s
     return out.withColumn(name, F.coalesce(F.lag(value).over(w), F.last(value).over(whole))).drop("__run")
 
 
-def ordinal(df: DataFrame, *order: str | Column, name: str = "ordinal", buckets: int | None = None) -> DataFrame:
-    """0-based numbers in the given total order, without putting all rows in one task.
+#: Ranges of ordinal() at most, and rows of the sample of orders for each.
+MOST_RANGES = 1024
+RANGE_SAMPLE = 32
 
-    Rows are dealt to ranges of the order (as many as shuffle partitions); each range counts its rows, and a row's
-    number is its place in its range plus the rows of the ranges before. Only those counts, one for each range, meet.
+
+def range_bounds(df: DataFrame, cols: list[Column], ranges: int) -> list[Column]:
+    """Up to ranges - 1 values, as literals, that cut the given total order in about equal parts.
+
+    They come from a random sample of RANGE_SAMPLE * ranges rows; ordinals are the same whatever the bounds.
+    """
+    names = [f"k{i}" for i in range(len(cols))]
+    keys = df.select(*[c.alias(n) for c, n in zip(cols, names, strict=True)])
+    picked = keys.withColumn("h", F.rand(7)).orderBy("h").limit(RANGE_SAMPLE * ranges)
+    kinds = [f.dataType for f in keys.schema.fields]
+    rows = picked.orderBy(*names).drop("h").collect()
+    step = max(1, -(-len(rows) // ranges))
+    return [F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(r, kinds, names, strict=True)]) for r in rows[step::step]]
+
+
+def ordinal(df: DataFrame, *order: str | Column, name: str = "ordinal", ranges: int | None = None) -> DataFrame:
+    """0-based numbers in the given ascending order, without putting all rows in one task.
+
+    The bounds of the ranges are found once, from the order's columns alone, and a row's range is an expression of its
+    own values; so the pass that counts the ranges and the pass that numbers their rows agree, also after retries.  Only
+    the counts, one for each range, meet.  Rows that tie are put in order by a hash of the whole row (columns of maps
+    aside); rows that tie there too are equal.  The order should be nearly unique: rows of one value share a task.
     """
     from pyspark.sql import Window
 
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(buckets, *cols).withColumn("__p", F.spark_partition_id())
-    ranked = dealt.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*cols)))
-    sizes = ranked.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    upto = Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("__p", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"))
-    return ranked.join(F.broadcast(before), "__p").withColumn(name, F.col("__before") + F.col("__i") - 1).drop("__p", "__i", "__before")
+    ranges = min(ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
+    bounds = range_bounds(df, cols, ranges) if ranges > 1 else []
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
+    at = F.size(F.filter(F.array(*bounds), lambda b: b <= key)) if bounds else F.lit(0)
+    sizes = {r["p"]: r["count"] for r in df.groupBy(at.alias("p")).count().collect()}
+    before, total = [], 0
+    for i in range(len(bounds) + 1):
+        before.append(total)
+        total += sizes.get(i, 0)
+    tie = [F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t])] if any("map<" not in t for _, t in df.dtypes) else []
+    placed = df.withColumn("__p", at)
+    here = F.row_number().over(Window.partitionBy("__p").orderBy(*cols, *tie))
+    return placed.withColumn(name, F.get(F.array(*[F.lit(n).cast("long") for n in before]), F.col("__p")) + here - 1).drop("__p")
 
 
 def class_balance(df: DataFrame, label: str = "label") -> DataFrame:

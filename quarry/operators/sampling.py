@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from quarry.operators.preprocess import ordinal
 
 
+#: Slots of interleave() that one task numbers.
+SLOT_RUN = 1 << 16
+
+
 def shuffle_key(seed: int, key: str | Column) -> Column:
     """The md5 of seed and key: its order is the shuffled order, in any engine."""
     return F.md5(F.concat(F.lit(f"{seed}:"), (F.col(key) if isinstance(key, str) else key).cast("string")))
@@ -99,8 +103,12 @@ def interleave(sources: list[DataFrame], weights: list[float], key: str, seed: i
     for i in range(len(sources) - 2, -1, -1):
         source = F.when(u < bounds[i], i).otherwise(source)
     slots = spark.range(n).select(F.col("id").alias("slot")).withColumn("source", source)
-    w = Window.partitionBy("source").orderBy("slot")
-    drawn = slots.withColumn("nth", F.row_number().over(w) - 1)
+    # Slots of a source before each run of SLOT_RUN slots, then a slot's place within its run.
+    slots = slots.withColumn("__run", F.floor(F.col("slot") / SLOT_RUN))
+    upto = Window.partitionBy("source").orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = slots.groupBy("source", "__run").count().select("source", "__run", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("__before"))
+    here = F.row_number().over(Window.partitionBy("source", "__run").orderBy("slot"))
+    drawn = slots.withColumn("__here", here).join(runs, ["source", "__run"]).select("slot", "source", (F.col("__before") + F.col("__here") - 1).alias("nth"))
     size = F.element_at(F.array(*[F.lit(s) for s in sizes]), F.col("source") + 1)
     ends = drawn.where(F.col("nth") == (size if stop == "first_exhausted" else size - 1)).agg((F.min("slot") if stop == "first_exhausted" else F.max("slot") + 1).alias("end"))
     end = ends.first()["end"]
@@ -120,12 +128,12 @@ def concat(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def dynamic_groups(df: DataFrame, group: str, value: str, limit: int, order: str) -> DataFrame:
+def dynamic_groups(df: DataFrame, group: str, value: str, limit: int, *order: str) -> DataFrame:
     """Rows of groups whose values vary, the first `limit` rows by `order`; all rows where no group varies."""
     w = Window.partitionBy(group)
     varied = df.withColumn("__sd", F.coalesce(F.stddev_samp(value).over(w), F.lit(0.0)))
     kept = varied.where("__sd > 0").drop("__sd")
-    return df if kept.isEmpty() else kept.orderBy(order).limit(limit)
+    return df if kept.isEmpty() else kept.orderBy(*order).limit(limit)
 
 
 def resample(df: DataFrame, valid: str, order: str, required: int) -> DataFrame:

@@ -209,12 +209,10 @@ def loggable(spark, d):
     return P.loggable(table(spark, d, "documents").select("doc_id", F.col("text").cast("binary").alias("raw"), F.col("source").alias("hub_token"), "lang"))
 
 
-@query("t10_yes_no", "SELECT conv_id, turn, nullif(regexp_extract(lower(text), '\\b(yes|no|the)\\b', 1), '') AS s FROM conversations")
+@query("t10_yes_no", "SELECT conv_id, turn, nullif(regexp_extract(lower(CASE turn % 3 WHEN 0 THEN text || ' Yes' WHEN 1 THEN 'No, ' || text ELSE text END), '\\b(yes|no)\\b', 1), '') AS s FROM conversations")
 def yes_no(spark, d):
-    t = F.regexp_replace(F.lower("text"), r"\bthe\b", "yes")
-    found = T.first_yes_no(t)
-    was = F.when(F.regexp_extract(F.lower(F.col("text")), r"\b(yes|no|the)\b", 1) == "the", "the").otherwise(found)
-    return table(spark, d, "conversations").select("conv_id", "turn", was.alias("s"))
+    t = F.when(F.col("turn") % 3 == 0, F.concat("text", F.lit(" Yes"))).when(F.col("turn") % 3 == 1, F.concat(F.lit("No, "), "text")).otherwise(F.col("text"))
+    return table(spark, d, "conversations").select("conv_id", "turn", T.first_yes_no(t).alias("s"))
 
 
 @query("t11_token_f1", """WITH w AS (SELECT conv_id, turn, list_filter(string_split(lower(text), ' '), lambda x: x <> '') AS a, list_filter(string_split(lower(role || ' ' || text), ' '), lambda x: x <> '') AS b FROM conversations),
@@ -242,7 +240,12 @@ def conversation_text(spark, d):
     return conversations(spark, d).select("conv_id", T.conversation_text(F.col("messages")).alias("s"), F.round(T.mean_reward(replies), 6).alias("reward"))
 
 
-CHATML = f"""WITH {CONV}, t AS (SELECT conv_id, m, coalesce(list_filter(m, lambda x: x.role = 'system')[1].content, 'You are a helpful assistant.') AS sys,
+#: Conversations with consecutive turns of one role joined.
+MERGED = """r0 AS (SELECT conv_id, turn, role, text, sum(chg) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) = role THEN 0 ELSE 1 END AS chg FROM conversations)),
+g0 AS (SELECT conv_id, g, any_value(role) AS role, string_agg(text, '' ORDER BY turn, text) AS content FROM r0 GROUP BY conv_id, g),
+c AS (SELECT conv_id, list({'role': role, 'content': content} ORDER BY g) AS m FROM g0 GROUP BY conv_id)"""
+
+CHATML = f"""WITH {MERGED}, t AS (SELECT conv_id, m, coalesce(list_filter(m, lambda x: x.role = 'system')[1].content, 'You are a helpful assistant.') AS sys,
   list_filter(m, lambda x: x.role <> 'system') AS u FROM c),
 s AS (SELECT conv_id, sys, CASE WHEN u[1].role = 'assistant' THEN list_concat([{{'role': 'user', 'content': ''}}], u) ELSE u END AS u FROM t),
 r AS (SELECT conv_id, sys, u, CAST(ceil(len(u) / 2) AS BIGINT) AS n FROM s),
@@ -252,25 +255,15 @@ x AS (SELECT *, '<|im_start|>system' || chr(10) || sys || '<|im_end|>' || chr(10
 """
 
 
-def alternating(spark: SparkSession, d: str) -> DataFrame:
-    """Conversations whose turns without system alternate, a user or an assistant first."""
-    df = conversations(spark, d)
-    u = F.filter("messages", lambda m: m["role"] != "system")
-    return df.where(F.forall(F.sequence(F.lit(0), F.greatest(F.size(u) - 2, F.lit(0))), lambda i: F.coalesce(F.get(u, i)["role"] != F.get(u, i + 1)["role"], F.lit(True))))
-
-
-ALTERNATES = "WHERE len(list_filter(range(1, len(u)), lambda i: u[i].role = u[i + 1].role)) = 0 OR (len(u) > 1 AND u[1].content = '' AND len(list_filter(range(2, len(u)), lambda i: u[i].role = u[i + 1].role)) = 0)"
-
-
-@query("e6_chat_template", CHATML + f"SELECT conv_id, body FROM x {ALTERNATES}")
+@query("e6_chat_template", CHATML + "SELECT conv_id, body FROM x")
 def chat_template(spark, d):
-    segs = E.segments(F.col("messages"), E.TEMPLATES["chatml"])
-    return alternating(spark, d).select("conv_id", F.array_join(F.transform(segs, lambda s: s["text"]), "").alias("body"))
+    segs = E.segments(E.merged_turns(F.col("messages")), E.TEMPLATES["chatml"])
+    return conversations(spark, d).select("conv_id", F.array_join(F.transform(segs, lambda s: s["text"]), "").alias("body"))
 
 
-@query("e7_weighted_chars", CHATML + f"""SELECT conv_id, CAST(length(body) AS INTEGER) AS n, CAST(coalesce(list_sum(list_transform(range(1, n + 1), lambda i: length(coalesce(u[2 * i].content, '')))), 0) + CASE WHEN len(u) % 2 = 0 THEN 10 ELSE 0 END AS BIGINT) AS weighted FROM x {ALTERNATES}""")
+@query("e7_weighted_chars", CHATML + """SELECT conv_id, CAST(length(body) AS INTEGER) AS n, CAST(coalesce(list_sum(list_transform(range(1, n + 1), lambda i: length(coalesce(u[2 * i].content, '')))), 0) + CASE WHEN len(u) % 2 = 0 THEN 10 ELSE 0 END AS BIGINT) AS weighted FROM x""")
 def weighted_chars(spark, d):
-    x = alternating(spark, d).select("conv_id", E.encode(E.segments(F.col("messages"), E.TEMPLATES["chatml"])).alias("e"))
+    x = conversations(spark, d).select("conv_id", E.encode(E.segments(E.merged_turns(F.col("messages")), E.TEMPLATES["chatml"])).alias("e"))
     return x.select("conv_id", F.col("e.length").alias("n"), F.size(F.filter("e.labels", lambda v: v != E.IGNORED)).cast("long").alias("weighted"))
 
 
@@ -373,11 +366,9 @@ def cosine_reward(spark, d):
     return table(spark, d, "documents").select("doc_id", F.round(O.cosine_reward(F.col("doc_id") % 2 == 0, F.col("n_chars"), 2000), 6).alias("r"))
 
 
-@query("o5_repetition_reward", """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS w FROM documents WHERE lang = 'en'),
-g AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) ELSE [] END AS g FROM w)
-SELECT doc_id, round(CASE WHEN len(g) > 0 THEN -(1 - len(list_distinct(g)) / len(g)) ELSE 0 END, 6) + 0.0 AS r FROM g""")
+@query("o5_repetition_reward")
 def repetition_reward(spark, d):
-    return table(spark, d, "documents").where("lang = 'en'").select("doc_id", (F.round(O.repetition_reward(F.col("text")), 6) + 0.0).alias("r"))
+    return table(spark, d, "documents").select("doc_id", (F.round(O.repetition_reward(F.col("text")), 6) + 0.0).alias("r"))
 
 
 @query("o6_soft_overlong_reward", "SELECT doc_id, least(-(n_chars - 800) / 200.0::DOUBLE, 0) AS r FROM documents")

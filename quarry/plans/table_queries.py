@@ -56,6 +56,12 @@ def load_and_split(spark, d):
     return pick(train, "train").unionByName(pick(val, "val"))
 
 
+@query("s8_sampled_and_shuffled", f"SELECT doc_id, i - 15 AS place, 'docs' AS dataset FROM (SELECT doc_id, {SHUFFLED} AS i FROM documents) WHERE i BETWEEN 15 AND 149")
+def sampled_and_shuffled(spark, d):
+    train, _ = load_dataset(spark, "docs#150", split_ratio=0.1, shuffle=True, key="doc_id", catalog=_catalog(d))
+    return L.shuffled(train, "doc_id", name="place").select("doc_id", "place", "dataset")
+
+
 @query("s9_cached_lengths", "SELECT doc_id, n_chars FROM documents WHERE n_chars <= 500")
 def cached_lengths(spark, d):
     df = table(spark, d, "documents").withColumn("lengths", F.array("n_chars", F.lit(1).cast("long")))
@@ -131,10 +137,10 @@ def resumed_batches(spark, d):
     return G.whole_batches(table(spark, d, "documents").select("doc_id"), "doc_id", 32, done=3).select("doc_id", "batch")
 
 
-@query("l8_dynamic_groups", "WITH g AS (SELECT l_orderkey, l_linenumber, l_quantity, coalesce(stddev_samp(l_quantity) OVER (PARTITION BY l_orderkey), 0) AS sd FROM lineitem), k AS (SELECT l_orderkey, l_linenumber, l_quantity, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS c FROM g WHERE sd > 0) SELECT DISTINCT l_orderkey FROM k WHERE l_orderkey <= 400")
+@query("l8_dynamic_groups", "WITH g AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, coalesce(stddev_samp(l_quantity) OVER (PARTITION BY l_orderkey), 0) AS sd FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey FROM g WHERE sd > 0 ORDER BY l_orderkey, l_linenumber, l_partkey LIMIT 500")
 def dynamic_groups(spark, d):
-    x = table(spark, d, "lineitem").where("l_orderkey <= 400").select("l_orderkey", "l_linenumber", "l_quantity")
-    return L.dynamic_groups(x, "l_orderkey", "l_quantity", 1_000_000, "l_orderkey").select("l_orderkey").distinct()
+    x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return L.dynamic_groups(x, "l_orderkey", "l_quantity", 500, "l_orderkey", "l_linenumber", "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("l9_negatives")
@@ -144,16 +150,19 @@ def negatives(spark, d):
     return L.negatives(docs, pool, "source", "own", "v", 3)
 
 
-@query("l10_hard_negatives", "WITH n AS (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS r, count(*) OVER (PARTITION BY c_nationkey) AS n FROM customer) SELECT c_nationkey, c_custkey, CAST(r AS INTEGER) AS r FROM n WHERE r <= 5")
+@query("l10_hard_negatives", """WITH g AS (SELECT c_nationkey, list(c_custkey ORDER BY c_acctbal DESC, c_custkey) AS p FROM customer GROUP BY 1),
+f AS (SELECT *, len(p) - 2 AS n FROM g WHERE len(p) > 2),
+r AS (SELECT *, list_transform(range(n, 12), lambda i: p[CAST('0x' || substr(md5('42:' || c_nationkey || ':' || i), 1, 8) AS BIGINT) % n + 2]) AS more FROM f)
+SELECT c_nationkey, array_to_string(CASE WHEN n >= 12 THEN p[1:14] ELSE list_concat(p, more) END, ',') AS parts FROM r""")
 def hard_negatives(spark, d):
-    w = Window.partitionBy("c_nationkey").orderBy(F.desc("c_acctbal"), "c_custkey")
-    return table(spark, d, "customer").withColumn("r", F.row_number().over(w)).where("r <= 5").select("c_nationkey", "c_custkey", "r")
+    g = table(spark, d, "customer").groupBy("c_nationkey").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("c_acctbal")).alias("b"), "c_custkey"))), lambda x: x["c_custkey"]).alias("p")).where(F.size("p") > 2)
+    return g.select("c_nationkey", F.array_join(L.hard_negatives(F.col("p"), "c_nationkey", 12), ",").alias("parts"))
 
 
 @query("l11_quantile_filter", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_extendedprice >= (SELECT quantile_cont(l_extendedprice, 0.8) FROM lineitem)")
 def quantile_filter(spark, d):
     x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    t = x.agg(A.quantile_threshold("l_extendedprice", 0.8).alias("t"))
+    t = A.quantile_threshold(x, "l_extendedprice", 0.8)
     return x.join(F.broadcast(t)).where(F.col("l_extendedprice") >= F.col("t")).select("l_orderkey", "l_linenumber")
 
 
@@ -182,11 +191,20 @@ def interleaved(spark, d):
     return L.interleave([a, b], [3.0, 1.0], "id").select("slot", "source", "id")
 
 
-@query("u5_multiset_overlap", "SELECT doc_id, CAST(least(len(list_filter(string_split(lang || source, ''), lambda x: x = 's')), 1) AS INTEGER) AS n FROM documents")
+@query("u2_interleaved_to_the_last", INTERLEAVE.replace("z AS (SELECT min(slot) AS z FROM k, n WHERE nth = CASE source WHEN 0 THEN a ELSE b END)", "z AS (SELECT max(slot) + 1 AS z FROM k, n WHERE nth = CASE source WHEN 0 THEN a ELSE b END - 1)").replace("k.nth = r.nth", "k.nth % CASE k.source WHEN 0 THEN n.a ELSE n.b END = r.nth").replace("FROM k JOIN z", "FROM n, k JOIN z"))
+def interleaved_to_the_last(spark, d):
+    a = table(spark, d, "documents").select(F.col("doc_id").alias("id"))
+    b = table(spark, d, "pages").select(F.col("page_id").alias("id"))
+    return L.interleave([a, b], [3.0, 1.0], "id", stop="all_exhausted").select("slot", "source", "id")
+
+
+@query("u5_multiset_overlap", """WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS a, string_split(lead(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text), ' ') AS b FROM conversations)
+SELECT conv_id, turn, CAST(coalesce(list_sum(list_transform(list_distinct(list_intersect(a, b)), lambda v: least(len(list_filter(a, lambda x: x = v)), len(list_filter(b, lambda x: x = v))))), 0) AS INTEGER) AS n FROM w WHERE b IS NOT NULL""")
 def multiset_overlap(spark, d):
     from quarry.functions.text import word_counts_overlap
 
-    return table(spark, d, "documents").select("doc_id", word_counts_overlap(F.split(F.concat("lang", "source"), ""), F.array(F.lit("s"))).alias("n"))
+    rows = table(spark, d, "conversations").withColumn("next", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))).where("next IS NOT NULL")
+    return rows.select("conv_id", "turn", word_counts_overlap(F.split("text", " "), F.split("next", " ")).alias("n"))
 
 
 # Joins.
@@ -245,7 +263,7 @@ def assigned_boxes(spark, d):
 
 # Packing.
 
-NEXT_FIT = """WITH RECURSIVE r AS (SELECT doc_id, least(n_chars, 4000) AS n, row_number() OVER (ORDER BY doc_id) AS i FROM documents),
+NEXT_FIT = """WITH RECURSIVE r AS (SELECT doc_id, n_chars AS n, row_number() OVER (ORDER BY doc_id) AS i FROM documents),
 p AS (SELECT i, doc_id, n, CAST(n AS BIGINT) AS size, CAST(0 AS BIGINT) AS pack FROM r WHERE i = 1
 UNION ALL SELECT r.i, r.doc_id, r.n, CASE WHEN p.size >= 4096 OR p.size + r.n > 4096 THEN r.n ELSE p.size + r.n END, CASE WHEN p.size >= 4096 OR p.size + r.n > 4096 THEN p.pack + 1 ELSE p.pack END FROM p JOIN r ON r.i = p.i + 1)
 SELECT CAST(pack AS INTEGER) AS pack_id, CAST(sum(n) AS BIGINT) AS length, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY i) AS rows FROM p GROUP BY pack"""
@@ -253,7 +271,7 @@ SELECT CAST(pack AS INTEGER) AS pack_id, CAST(sum(n) AS BIGINT) AS length, strin
 
 @query("k2_next_fit_packs", NEXT_FIT)
 def next_fit_packs(spark, d):
-    df = table(spark, d, "documents").select("doc_id", F.least(F.col("n_chars"), F.lit(4000)).alias("n"))
+    df = table(spark, d, "documents").select("doc_id", F.col("n_chars").alias("n"))
     return K.pack(df, "doc_id", "n", 4096, "next_fit").select("pack_id", "length", F.array_join(F.transform("row_ids", lambda x: x.cast("string")), ",").alias("rows"))
 
 
@@ -437,9 +455,10 @@ def discounted(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.round(F.get(x, F.lit(0)), 6).alias("v"))
 
 
-@query("w9_position_ids", "SELECT doc_id, '0,1,0' AS ids FROM documents")
+@query("w9_position_ids", "WITH g AS (SELECT l_orderkey, list(l_linenumber % 4 ORDER BY l_linenumber, l_partkey) AS n FROM lineitem GROUP BY 1) SELECT l_orderkey, array_to_string(flatten(list_transform(n, lambda k: range(k))), ',') AS ids FROM g")
 def position_ids(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.array_join(M.position_ids(F.array(F.lit(2), F.lit(0), F.lit(1))), ",").alias("ids"))
+    g = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: (x["l_linenumber"] % 4).cast("int")).alias("n"))
+    return g.select("l_orderkey", F.array_join(M.position_ids(F.col("n")), ",").alias("ids"))
 
 
 @query("w11_sessions", "WITH x AS (SELECT user_id, event_id, sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS conv FROM events) SELECT user_id, CAST(conv AS BIGINT) AS conv, CAST(2 * count(*) AS INTEGER) AS turns FROM x WHERE conv > 0 GROUP BY ALL")

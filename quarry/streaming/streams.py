@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from quarry.operators.packing import next_fit
+from quarry.shared import removed, shared_folder
 
 #: Rows that a key's packing state may hold before it is packed.
 INTERVAL = 128
@@ -83,8 +84,8 @@ def open_bins(spark: SparkSession, checkpoint: str) -> DataFrame:
 def run_packed(df: DataFrame, name: str, pack_key: str, row: str, length: str, cap: int) -> DataFrame:
     """packed_stream over what is there, to the end, with the open bin of every key at last."""
     spark = df.sparkSession
-    checkpoint = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/checkpoints').rstrip('/')}/{name}"
-    return run_all(packed_stream(df, pack_key, row, length, cap), name, checkpoint=checkpoint).unionByName(open_bins(spark, checkpoint))
+    packs = run_all(packed_stream(df, pack_key, row, length, cap), name)
+    return packs.unionByName(open_bins(spark, f"{shared_folder(spark)}/{name}/state"))
 
 
 def event_counts(df: DataFrame, time: str, late: str, window: str, *keys: str) -> DataFrame:
@@ -92,11 +93,20 @@ def event_counts(df: DataFrame, time: str, late: str, window: str, *keys: str) -
     return df.withWatermark(time, late).groupBy(F.window(time, window), *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def run_all(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Read what is there to the end, into a table in memory; for tests and small results."""
-    writer = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    q = writer.start()
-    q.awaitTermination()
-    return df.sparkSession.table(name)
+def run_all(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """Read what is there to the end, into Parquet files of the shared folder; mode complete keeps the last result.
+
+    Files and state lie in a folder of the given name, which goes when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/{name}"
+    removed(spark, folder, now=False)
+    out = f"{folder}/rows"
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{out}/batch=-1")
+
+    def put(batch: DataFrame, number: int) -> None:
+        # A batch that runs again writes over what it wrote before.
+        batch.write.mode("overwrite").parquet(f"{out}/batch={0 if mode == 'complete' else number}")
+
+    df.writeStream.foreachBatch(put).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{folder}/state").start().awaitTermination()
+    return spark.read.schema(df.schema).option("basePath", out).parquet(f"{out}/*").select(*df.columns)

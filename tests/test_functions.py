@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions import scores as C
@@ -216,6 +217,32 @@ def test_preparations(spark):
     assert len(D.PREPARATIONS) > 45
 
 
+@pytest.mark.parametrize("partitions", [8, 211])
+def test_ordinals_of_wide_rows(spark, partitions):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        df = spark.range(0, 200_000, 1, 9).select("id", F.md5(F.col("id").cast("string")).alias("m"), F.repeat(F.lit("x"), 40).alias("wide"))
+        out = sampling.shuffled(df, "id", name="i")
+        assert out.agg(F.count_distinct("i"), F.min("i"), F.max("i")).first() == (200_000, 0, 199_999)
+        w = Window.orderBy(sampling.shuffle_key(42, "id"), "id")
+        assert out.withColumn("j", F.row_number().over(w) - 1).where("i <> j").isEmpty()
+        for ratio in (0.3, 0.5):
+            train, val = sampling.split(df, ratio, "id")
+            both = train.select("id").union(val.select("id"))
+            assert val.count() == int(200_000 * ratio) and both.count() == both.distinct().count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_ordinals_of_ties_and_nulls(spark):
+    rows = [(i % 7 if i % 11 else None, f"r{i % 50}") for i in range(3000)]
+    got = preprocess.ordinal(spark.createDataFrame(rows, "k long, v string").repartition(5), "k").collect()
+    assert sorted(r.ordinal for r in got) == list(range(3000))
+    keys = [r.k for r in sorted(got, key=lambda r: r.ordinal)]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k))
+
+
 def test_ordinal_is_dense(spark):
     n = [r.ordinal for r in preprocess.ordinal(spark.range(1000).toDF("id").repartition(7), "id").orderBy("id").collect()]
     assert n == list(range(1000)) and preprocess.ordinal(spark.range(0).toDF("id"), "id").count() == 0

@@ -1,5 +1,6 @@
 """Every query against its SQL over the smallest tables; those without SQL against plain Python."""
 
+import re
 from collections import defaultdict
 
 import pytest
@@ -14,6 +15,25 @@ def test_query_matches_sql(name, spark, duck):
     same_rows(QUERIES[name](spark, DATA).toPandas(), duck.sql(ORACLES[name]).df())
 
 
+@pytest.mark.parametrize("name", ["l5_length_groups", "j4_zipped", "p16_rotated_responses", "s8_load_and_split", "s8_sampled_and_shuffled", "u2_interleaved", "u2_interleaved_to_the_last", "a7_paired_correlations", "l11_quantile_filter"])
+def test_query_matches_sql_on_more_rows(name, spark):
+    import duckdb
+
+    big = DATA.replace("sf0.001", "sf0.1")
+    con = duckdb.connect()
+    for t in "documents pages embeddings conversations lineitem".split():
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{big}/{t}.parquet'")
+    same_rows(QUERIES[name](spark, big).toPandas(), con.sql(ORACLES[name]).df())
+
+
+def test_repetition_matches_plain_python(spark):
+    for r in QUERIES["o5_repetition_reward"](spark, DATA).join(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text"), "doc_id").collect():
+        w = re.split(r"[ \t\n\x0b\f\r]+", r.text.lower())
+        w = [x for x in w if x]
+        grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        assert r.r == pytest.approx(-(1 - len(set(grams)) / len(grams)) if grams else 0.0, abs=1e-6)
+
+
 def test_negatives_avoid_own_values(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     own = defaultdict(set)

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Folder for checkpoints where the session names none; only on one machine.
-LOCAL_CHECKPOINTS = "/tmp/checkpoints"
+from quarry.shared import removed, shared_folder  # noqa: F401
+
 #: Bytes of text that one batch of documents holds on average, at least.
 BATCH_BYTES = 6 << 20
 #: Bytes of keys, on average, of a batch in a bucket at least: batches grow with the square root of the data.
@@ -20,24 +20,6 @@ RUN_BYTES = 640
 BATCH = "__batch"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Off local mode it must be named by spark.checkpoint.dir."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return (named or LOCAL_CHECKPOINTS).rstrip("/")
-
-
-def removed(spark: SparkSession, folder: str, now: bool = True) -> None:
-    """Delete a folder of the shared store, now or when the session's JVM ends."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if now:
-        store.delete(path, True)
-    else:
-        store.deleteOnExit(path)
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it back: later failures restart from there."""
     sc = df.sparkSession.sparkContext

@@ -763,10 +763,41 @@ def test_top_k_matches_brute_force(spark):
         if q % 50 == 0:
             best = sorted(((-sum(a * b for a, b in zip(v[q], v[c])), c) for c in v if c != q))[:5]
             want |= {(q, k + 1, c, -s) for k, (s, c) in enumerate(best)}
-    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), block_rows=64).collect()]
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), part_rows=64).collect()]
     assert set(got) == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("bits", [2, 8])
+def test_bounds_hold(bits):
+    rng = np.random.default_rng(2)
+    v, q = np.floor(rng.normal(0, 90, (400, 12))), np.floor(rng.normal(0, 90, (30, 12)))
+    edges = topk.cell_edges(v[:100], bits)
+    lower, upper = topk.bounds(q, topk.cells(v, edges), edges, v.min(0), v.max(0))
+    score = q @ v.T
+    assert (lower <= score).all() and (score <= upper).all() and (bits < 8 or (upper - lower).mean() < score.std())
+
+
+def test_few_exact_vectors_are_read(spark):
+    rng = np.random.default_rng(3)
+    v = [(i, [float(x) for x in rng.normal(0, 0.3, 16)]) for i in range(4000)]
+    rows = topk.usable(spark.createDataFrame(v, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    e = np.array([[math.floor(256 * x) for x in y] for _, y in v], float)
+    edges = {16: topk.cell_edges(e)}
+    asked = rows.where("id % 50 = 0")
+    n = topk.survivors(topk.approximation_file(rows, edges, 5), asked, edges, 5, 512).count()
+    assert 80 * 5 <= n < 80 * 4000 * 0.02
+
+
+def test_copies_of_one_vector(spark):
+    data = [(i, [1.0, 2.0]) for i in range(900)] + [(i, [float(i % 7), 1.0]) for i in range(900, 1000)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.top_k(df, df.where("vec_id % 500 = 0")).collect()
+    score = lambda a, b: sum(int(256 * x) * int(256 * y) for x, y in zip(a, b, strict=True))
+    for q in (0, 500):
+        want = sorted((-score(data[q][1], v), i) for i, v in data if i != q)[:5]
+        assert sorted((r["rank"], -r.score, r.vec_id) for r in got if r.query_id == q) == [(j + 1, s, i) for j, (s, i) in enumerate(want)]
+
+
 def test_top_k_of_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [3.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.top_k(df, df.where("vec_id = 0")).orderBy("rank").collect()] == [(0, 1, 2, 256 * 768), (0, 2, 1, 256 * 512)]

@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from quarry.plans import chat_queries, table_queries  # noqa: F401
+from quarry.plans import chat_queries, dataset_queries, table_queries  # noqa: F401
 from quarry.plans.registry import ORACLES, QUERIES
 from tests.conftest import DATA, same_rows
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.arrays import key_value_scores, let, ngrams
+from quarry.functions.arrays import let, ngrams
 from quarry.functions.text import final_answer
 
 
@@ -47,20 +47,30 @@ def soft_overlong_reward(length: Column, max_length: int, cache: int) -> Column:
 
 
 def action_of(text: Column) -> Column:
-    """struct(action, input) of the last Action: and Action Input: of a text."""
-    tail = F.substring_index(text, "Action:", -1)
-    action = F.trim(F.substring_index(tail, "Action Input:", 1), F.lit(" \n"))
-    given = F.trim(F.regexp_replace(F.substring_index(tail, "Action Input:", -1), r"(?s)Observation:.*$", ""), F.lit(" \n"))
-    has = F.contains(text, F.lit("Action:")) & F.contains(tail, F.lit("Action Input:"))
-    return F.struct(F.when(has, action).alias("action"), F.when(has, given).alias("input"))
+    """struct(action, input) of the last Action: and the last Action Input: of a text; 'none' and '{}' where one is missing."""
+    blank = F.lit(" \n\t\r")
+    name = F.substring_index(F.substring_index(text, "Action:", -1), "Action Input:", 1)
+    given = F.substring_index(text, "Action Input:", -1)
+    return F.struct(
+        F.when(F.contains(text, F.lit("Action:")), F.trim(name, blank)).otherwise("none").alias("action"),
+        F.when(F.contains(text, F.lit("Action Input:")), F.trim(given, blank)).otherwise("{}").alias("input"),
+    )
+
+
+def _members(text: Column) -> Column:
+    """Members of a JSON object as map<string,string> of JSON texts, so that 2 and "2" differ; null for anything else."""
+    fields = F.from_json(text, "map<string,variant>")
+    whole = F.try_parse_json(text)
+    return F.when(whole.isNotNull() & F.startswith(text, F.lit("{")), F.transform_values(fields, lambda k, v: F.to_json(v)))
 
 
 def tool_reward(pred: Column, gold: Column) -> Column:
-    """1 where the actions are equal and the inputs, as JSON objects, hold the same keys and values."""
-    p, g = action_of(pred), action_of(gold)
-    kv = lambda x: F.from_json(x, "map<string,string>")
-    f1 = key_value_scores(kv(p["input"]), kv(g["input"]))["f1"]
-    return F.when((p["action"] == g["action"]) & (F.coalesce(f1, F.lit(0.0)) == 1.0), 1.0).otherwise(0.0)
+    """1 where the actions are equal and the inputs are JSON objects of the same members; inputs that are no objects give 0."""
+    cut = F.when(F.endswith(pred, F.lit("Observation:")), F.substring_index(pred, "Observation:", 1)).otherwise(pred)
+    p, g = action_of(F.trim(F.regexp_replace(cut, r"<\|endoftext\|>|<\|im_end\|>", ""))), action_of(gold)
+    entries = lambda m: F.array_sort(F.map_entries(m))
+    same = entries(_members(p["input"])) == entries(_members(g["input"]))
+    return F.when(F.coalesce((p["action"] == g["action"]) & same, F.lit(False)), 1.0).otherwise(0.0)
 
 
 _OPS = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv}

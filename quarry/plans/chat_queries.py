@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.operators import agents as G
 from quarry.operators import preprocess as P
 from quarry.operators import rewards as O
+from quarry.operators import sampling as L
 from quarry.operators import templates as E
 from quarry.plans.registry import query, table
 
@@ -376,10 +378,79 @@ def soft_overlong_reward(spark, d):
     return table(spark, d, "documents").select("doc_id", O.soft_overlong_reward(F.col("n_chars"), 1000, 200).alias("r"))
 
 
-@query("o7_tool_reward", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1.0::DOUBLE ELSE 0 END AS r FROM documents")
+@query("o7_tool_reward", """SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN CASE WHEN lang = 'en' THEN 1.0::DOUBLE ELSE 0 END WHEN 2 THEN 0 WHEN 3 THEN 1 WHEN 4 THEN 0 WHEN 5 THEN 0 WHEN 6 THEN 1 WHEN 7 THEN 0 ELSE 1 END AS r FROM documents""")
 def tool_reward(spark, d):
-    call = lambda v: F.concat(F.lit('Thought: t\nAction: find\nAction Input: {"a": "'), v, F.lit('", "b": 2}'))
-    return table(spark, d, "documents").select("doc_id", O.tool_reward(call(F.when(F.col("doc_id") % 3 == 0, "x").otherwise("y")), call(F.lit("x"))).alias("r"))
+    call = lambda name, given: F.concat(F.lit("Thought: t\nAction: "), name, F.lit("\nAction Input: "), given)
+    find, same = F.lit("find"), F.concat(F.lit('{"a": "'), F.coalesce("source", F.lit("")), F.lit('", "b": [1, 2]}'))
+    turned = F.concat(F.lit('{"b": [1, 2], "a": "'), F.coalesce("source", F.lit("")), F.lit('"}'))
+    k, gold = F.col("doc_id") % 9, call(find, same)
+    cases = [
+        (call(find, turned), gold), (call(F.coalesce("lang", F.lit("-")), same), call(F.lit("en"), same)), (call(find, F.lit('{"a": 2}')), call(find, F.lit('{"a": "2"}'))), (F.lit("no call"), F.lit("none either")),
+        (call(find, F.lit("x")), call(find, F.lit("x"))), (call(find, F.lit('{"a": 1}')), call(find, F.lit('{"a": 1, "b": 2}'))), (F.concat(call(find, same), F.lit("\nObservation:")), gold), (call(find, F.lit("{}")), gold), (call(F.lit("x"), F.lit("{}")), call(F.lit("x"), F.lit("{}"))),
+    ]
+    pick = lambda side: F.coalesce(*[F.when(k == i, c[side]) for i, c in enumerate(cases)])
+    return table(spark, d, "documents").select("doc_id", O.tool_reward(pick(0), pick(1)).alias("r"))
+
+
+#: Arguments as JSON (A) and as Python shows them (R), in SQL.
+SIDES = """t AS (SELECT conv_id, turn, role, '{"x": ' || turn || ', "y": "' || role || '"}' AS A, '{' || chr(39) || 'x' || chr(39) || ': ' || turn || ', ' || chr(39) || 'y' || chr(39) || ': ' || chr(39) || role || chr(39) || '}' AS R FROM conversations)"""
+
+
+def _json_call(key: str) -> str:
+    return """'{"name": "' || role || '", "KEY": ' || A || '}'""".replace("KEY", key)
+
+
+#: What formats write for two calls; N is a line break.
+WRITTEN = {
+    "react_en": "'Action: ' || role || N || 'Action Input: ' || R || N || 'Action: g' || N || 'Action Input: {}' || N || 'Observation:'",
+    "qwen_zh": "'✿FUNCTION✿: ' || role || N || '✿ARGS✿: ' || R || N || '✿FUNCTION✿: g' || N || '✿ARGS✿: {}' || N || '✿RESULT✿:'",
+    "hermes": f"""'<tool_call>' || N || {_json_call("arguments")} || N || '</tool_call>' || N || '<tool_call>' || N || '{{"name": "g", "arguments": {{}}}}' || N || '</tool_call>'""",
+    "llama3": f"""{_json_call("parameters")} || N || '{{"name": "g", "parameters": {{}}}}'""",
+    "glm4": "role || N || R || '<|assistant|>g' || N || '{}<|observation|>'",
+    "mistral": f"""'[TOOL_CALLS][' || N || {_json_call("arguments")} || N || '{{"name": "g", "arguments": {{}}}}' || N || ']</s>'""",
+    "qwen3_coder": "'<tool_call>' || N || '<function=' || role || '>' || N || '<parameter=x>' || N || turn || N || '</parameter>' || N || '<parameter=y>' || N || role || N || '</parameter>' || N || '</function>' || N || '</tool_call>' || N || '<tool_call>' || N || '<function=g>' || N || '</function>' || N || '</tool_call>'",
+}
+
+
+def _each(forms: dict[str, str], name: str, source: str = "t") -> str:
+    return " UNION ALL ".join(f"SELECT conv_id, turn, role, '{k}' AS fmt, {e.replace(' N ', ' chr(10) ')} AS {name} FROM {source}" for k, e in forms.items())
+
+
+@query("e22_written_calls", f"WITH {SIDES} {_each(WRITTEN, 'text')}")
+def written_calls(spark, d):
+    given = F.concat(F.lit('{"x": '), F.col("turn").cast("string"), F.lit(', "y": "'), "role", F.lit('"}'))
+    one = lambda n, a: F.struct(n.alias("name"), a.alias("arguments"))
+    calls = F.array(one(F.col("role"), given), one(F.lit("g"), F.lit("{}")))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", calls.alias("calls"))
+    return L.concat([rows.select("conv_id", "turn", "role", F.lit(k).alias("fmt"), G.written_calls(F.col("calls"), k).alias("text")) for k in WRITTEN])
+
+
+READ = {k: f"role || '(' || {'R' if k in ('react_en', 'qwen_zh', 'glm4') else 'A'} || ');g({{}})'" for k in WRITTEN if k != "qwen3_coder"}
+
+
+@query("e22_read_calls", f"WITH {SIDES} {_each(READ, 'calls')}")
+def read_calls(spark, d):
+    texts, out = written_calls(spark, d), []
+    for k in READ:
+        found = G.tool_calls(F.concat(F.lit("" if k == "glm4" else "I will call.\n"), "text"), k)
+        rows = texts.where(F.col("fmt") == k).select("conv_id", "turn", "role", "fmt", found.alias("c"))
+        out.append(rows.select("conv_id", "turn", "role", "fmt", F.array_join(F.transform("c", lambda c: F.concat(c["name"], F.lit("("), c["arguments"], F.lit(")"))), ";").alias("calls")))
+    return L.concat(out)
+
+
+RESULTS = {
+    "react_en": "text || N || 'Observation:' || role || N ",
+    "hermes": "'<tool_response>' || N || text || N || '</tool_response>' || N || '<tool_response>' || N || role || N || '</tool_response>'",
+    "hunyuan_hermes": "'<tool_responses><tool_response>' || text || '</tool_response>' || N || '<tool_response>' || role || '</tool_response></tool_responses>'",
+    "llama4": "'<|eot|><|header_start|>tool<|header_end|>' || N || N || text || '<|eot|><|header_start|>tool<|header_end|>' || N || N || role || '<|eot|><|header_start|>assistant<|header_end|>' || N || N ",
+    "chatglm4": " N || text || '<|observation|>' || N || role || '<|assistant|>' || N ",
+}
+
+
+@query("e22_given_results", _each(RESULTS, "given", "conversations"))
+def given_results(spark, d):
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", F.array("text", "role").alias("r"))
+    return L.concat([rows.select("conv_id", "turn", "role", F.lit(k).alias("fmt"), G.tool_results(F.col("r"), k).alias("given")) for k in RESULTS])
 
 
 @query("o8_math_reward", "SELECT doc_id, CASE WHEN doc_id % 5 < 4 THEN 1.0::DOUBLE ELSE 0 END AS r FROM documents")

@@ -183,9 +183,27 @@ def test_dynamic_eos(spark):
 def test_calls_round_trip(name):
     f = agents.FORMATS[name]
     calls = [{"name": "find", "arguments": '{"a": "b"}'}]
-    assert f.calls(f.write(calls)) == calls
-    tools = [{"name": "find", "description": "d", "parameters": {}}]
-    assert "find" in f.prompt(tools, "sys") and "r1" in f.results(["r1"])
+    if name != "hunyuan_hermes":  # it reads another form than it writes
+        got = f.calls(f.write(calls))
+        assert [(c["name"], agents.lenient_json(c["arguments"])) for c in got] == [("find", {"a": "b"})]
+    tools = [{"name": "find", "description": "d", "parameters": {"type": "object"}}]
+    told = f.prompt(tools, "sys") + (f.question(tools, "ask") if f.question else "")
+    assert "find" in told and '"object"' in told and "<<" not in told and "r1" in f.results(["r1"])
+
+
+def test_agent_prompts():
+    tool = {"name": "find", "description": "Finds.", "parameters": {"q": 1}}
+    line = 'find: Call this tool to interact with the find API. What is the find API useful for? Finds. Parameters: {"q": 1} Format the arguments as a JSON object.'
+    assert agents.FORMATS["react_en"].prompt([tool], None).startswith(f"Answer the following questions as best you can. You have access to the following tools:\n\n{line}\n\nUse the following format:")
+    assert "one of [find,find]" in agents.FORMATS["react_en"].prompt([tool, {"type": "function", "function": tool}], None)
+    wrapped = json.dumps({"type": "function", "function": tool})
+    assert agents.FORMATS["hermes"].prompt([tool], "S").startswith("S\n\n# Tools\n\nYou may call one or more") and f"<tools>\n{wrapped}\n</tools>" in agents.FORMATS["hermes"].prompt([tool], "S")
+    assert agents.FORMATS["hunyuan_hermes"].prompt([tool], "").startswith("# Tools")
+    assert agents.FORMATS["mistral"].prompt([tool], "S") == f"S[AVAILABLE_TOOLS]{wrapped}[/AVAILABLE_TOOLS]"
+    assert agents.FORMATS["llama3"].prompt([tool], None) == "" and agents.FORMATS["llama3"].question([tool], "Q?").endswith(json.dumps(tool, indent=4) + "\n\nQ?")
+    assert agents.FORMATS["glm4"].prompt([tool], "S").startswith("# 可用工具\n\n## find\n\n{")
+    assert agents.FORMATS["hunyuan_hermes"].calls('<tool_call>f\n```json\n{"a": 1}\n```</tool_call>') == [{"name": "f", "arguments": '{"a": 1}'}]
+    assert agents.FORMATS["hermes"].calls("Thought\nACTION: f\naction input: {}\nObservation:") == [{"name": "f", "arguments": "{}"}]
 
 
 def test_agent_columns(spark):

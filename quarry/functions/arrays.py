@@ -134,3 +134,29 @@ def key_value_scores(pred: Column, gold: Column) -> Column:
     zero = F.when(both, 1.0).otherwise(0.0)
     ok = (F.size(pred) > 0) & (F.size(gold) > 0)
     return F.struct(F.when(ok, p).otherwise(zero).alias("precision"), F.when(ok, r).otherwise(zero).alias("recall"), F.when(ok & (hit > 0), 2 * p * r / (p + r)).otherwise(zero).alias("f1"))
+
+
+def first_given(values: Column, empty: Column) -> Column:
+    """The first value that is neither null nor `empty` (0, '' or false by its type); null without any."""
+    return F.get(F.filter(values, lambda x: x.isNotNull() & (x != empty)), F.lit(0))
+
+
+def _there(values: Column) -> Column:
+    return F.filter(values, lambda x: x.isNotNull() & ~F.isnan(x))
+
+
+def nan_total(values: Column) -> Column:
+    """The sum of the doubles that are there; 0 without any. Null and NaN both count as missing."""
+    return F.aggregate(_there(values), F.lit(0.0), lambda a, x: a + x)
+
+
+def nan_mean(values: Column) -> Column:
+    """The mean of the doubles that are there; NaN without any."""
+    return let(_there(values), lambda v: F.when(F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)).otherwise(float("nan")))
+
+
+def nan_std(values: Column) -> Column:
+    """The sample deviation of the doubles that are there; NaN for fewer than two."""
+    total_ = lambda v, f: F.aggregate(v, F.lit(0.0), lambda a, x: a + f(x))
+    spread = lambda v: let(total_(v, lambda x: x) / F.size(v), lambda m: F.sqrt(total_(v, lambda x: (x - m) * (x - m)) / (F.size(v) - 1)))
+    return let(_there(values), lambda v: F.when(F.size(v) > 1, spread(v)).otherwise(float("nan")))

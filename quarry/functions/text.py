@@ -164,3 +164,10 @@ def literal_to_json(text: Column) -> Column:
     x = F.regexp_replace(x, r"(?<=[\[{,:(\s])'|^'", '"')
     x = F.regexp_replace(x, r"'(?=\s*[\]},:)])|'$", '"')
     return F.regexp_replace(F.regexp_replace(x, r"\}\s*\{", "},{"), r"\(", "[")
+
+
+def dataset_name(path: Column) -> Column:
+    """The last part of an id or path; of a hub's cache folder the name within."""
+    bare = F.regexp_replace(path, "/+$", "")
+    cached = F.regexp_extract(bare, "/datasets--.+?--(.+?)/snapshots/", 1)
+    return F.when(cached != "", cached).otherwise(F.substring_index(bare, "/", -1))

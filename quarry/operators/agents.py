@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -278,6 +278,33 @@ FENCED_TEXT = TAGGED_HEAD + """For function call returns, you should first print
 ```json
 function_arguments_in_json_format
 ```</tool_call>At the end of function call returns, you should print </tool_calls>"""
+TREE_SYSTEM = "You are Qwen, a helpful AI assistant that can interact with a computer to solve tasks."
+TREE_HEAD = "# Tools\n\nYou have access to the following functions:\n\n<tools>\n"
+TREE_TAIL = """
+</tools>
+
+If you choose to call a function ONLY reply in the following format with NO suffix:
+
+<tool_call>
+<function=example_function_name>
+<parameter=example_parameter_1>
+value_1
+</parameter>
+<parameter=example_parameter_2>
+This is the value for the second parameter
+that can span
+multiple lines
+</parameter>
+</function>
+</tool_call>
+
+<IMPORTANT>
+Reminder:
+- Function calls MUST follow the specified format: an inner <function=...></function> block must be nested within <tool_call></tool_call> XML tags
+- Required parameters MUST be specified
+- You may provide optional reasoning for your function call in natural language BEFORE the function call, but NOT after
+- If there is no function call available, answer the question like normal with your current knowledge and do not tell the user about function calls
+</IMPORTANT>"""
 SUBTASK_TEXT = """You can use many tools(functions) to do the following task.
 First I will give you the task description, and your task start.
 At each step, you need to give your thought to analyze the status now and what to do next, with a function call to actually execute your step. Your output should follow this format:
@@ -345,6 +372,26 @@ def _blocks(head: str) -> Callable[[list[dict], str | None], str]:
     return lambda tools, system: head + BLOCK_HEAD + "\n".join(one(unwrapped(t)) for t in tools)
 
 
+def _tags(value: dict, plain: Sequence[str], inner: Callable[[], list[str]], skip: Sequence[str] = ()) -> list[str]:
+    """Lines of a node of the tool tree: its plain fields, then inner lines, then all other fields as JSON."""
+    own = [f"<{k}>{str(value[k]).strip()}</{k}>" for k in plain if k in value]
+    rest = [f"<{k}>{_dumped(v)}</{k}>" for k, v in value.items() if k not in (*plain, *skip)]
+    return own + inner() + rest
+
+
+def _tree(tool: dict) -> str:
+    t = unwrapped(tool)
+    given = t.get("parameters") if isinstance(t.get("parameters"), dict) else {}
+    fields = given.get("properties") if isinstance(given.get("properties"), dict) else {}
+    one = lambda k, f: ["<parameter>", *_tags({"name": k, **{x: v for x, v in f.items() if x != "name"}}, ("name", "type", "description"), list), "</parameter>"]
+    inside = lambda: ["<parameters>", *[x for k, f in fields.items() for x in one(k, f)], *_tags(given, (), list, ("type", "properties")), "</parameters>"]
+    return "\n".join(["<function>", *_tags(t, ("name", "description"), inside, ("type", "parameters")), "</function>"])
+
+
+def _as_tree(tools: list[dict], system: str | None) -> str:
+    return f"{TREE_SYSTEM if system is None else system}\n\n{TREE_HEAD}" + "\n".join(map(_tree, tools)) + TREE_TAIL
+
+
 def _in_question(tools: list[dict], query: str) -> str:
     return _filled(ASKED_TEXT, tools="\n\n".join(_dumped(t, 4) for t in tools), query=query)
 
@@ -382,7 +429,7 @@ def _lines(form: str, key: str = "arguments", around: str = "<<CALLS>>") -> Call
 
 
 def _xml_write(calls: list[Call]) -> str:
-    one = lambda c: f"<tool_call>\n<function={c['name']}>\n" + "".join(f"<parameter={k}>\n{v}\n</parameter>\n" for k, v in (lenient_json(c["arguments"]) or {}).items()) + "</function>\n</tool_call>"
+    one = lambda c: f"<tool_call>\n<function={c['name']}>\n" + "".join(f"<parameter={k}>\n{_dumped(v) if isinstance(v, dict | list) else v}\n</parameter>\n" for k, v in (lenient_json(c["arguments"]) or {}).items()) + "</function>\n</tool_call>"
     return "\n".join(map(one, calls))
 
 
@@ -418,7 +465,7 @@ FORMATS: dict[str, AgentFormat] = {
         *[_flowers(x, y) for x in ("en", "zh") for y in (False, True)],
         AgentFormat("hermes", _by_json(TAGGED_TEXT, _apart), tagged_calls, _lines(_TAGGED), _responses),
         AgentFormat("hunyuan_hermes", _by_json(FENCED_TEXT, lambda s: s and f"{s}\n\n"), fenced_calls, _lines(_TAGGED, around="<tool_calls>\n<<CALLS>>\n</tool_calls>"), lambda r: "<tool_responses>" + "\n".join(f"<tool_response>{x}</tool_response>" for x in r) + "</tool_responses>"),
-        AgentFormat("qwen3_coder", _by_json(TAGGED_TEXT, _apart), xml_calls, _xml_write, _responses),
+        AgentFormat("qwen3_coder", _as_tree, xml_calls, _xml_write, _responses),
         *[AgentFormat(n, _blocks(head), named_block_calls, _block_write, lambda r: "\n" + "<|observation|>\n".join(r) + "<|assistant|>\n") for n, head in (("chatglm4", BLOCK_SYSTEM), ("glm4", ""))],
         *map(_headed, HEADERS),
         AgentFormat("mistral", lambda tools, system: f"{system or ''}[AVAILABLE_TOOLS]{' '.join(_dumped(wrapped(t)) for t in tools)}[/AVAILABLE_TOOLS]", bracketed_calls, _lines("<<CALL>>", around="[TOOL_CALLS][\n<<CALLS>>\n]</s>"), lambda r: "\n".join(f"[TOOL_RESULTS]{_dumped({'content': x})}[/TOOL_RESULTS]" for x in r)),

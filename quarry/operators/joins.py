@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +20,13 @@ def lookup_last(df: DataFrame, other: DataFrame, key: str, order: str) -> DataFr
 
 
 def row_digest(df: DataFrame, *without: str) -> Column:
-    """md5 of the row's JSON with sorted keys, some columns left out."""
-    return F.md5(F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns) if c not in without]), {"ignoreNullFields": "false"}))
+    """md5 of the row as Python's json.dumps(row, sort_keys=True) writes it, some columns left out."""
+
+    @F.pandas_udf("string")
+    def run(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda t: hashlib.md5(json.dumps(json.loads(t), sort_keys=True).encode()).hexdigest())
+
+    return run(F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in without]), {"ignoreNullFields": "false"}))
 
 
 def cache_misses(df: DataFrame, cache: DataFrame, n: int) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +108,30 @@ def instruction_messages(df: DataFrame) -> DataFrame:
     return response_messages(rename_columns(out, {"output": "response"}))
 
 
+def class_rows(df: DataFrame) -> DataFrame:
+    """Query and response as messages, and the label as a whole number."""
+    out = response_messages(alias_columns(df, ("system", "query", "response")))
+    return out.withColumn("label", F.col("label").cast("double").cast("long"))
+
+
+def map_rows(df: DataFrame, change: Callable[[dict], dict | list[dict] | None], schema: str) -> DataFrame:
+    """change(row) for each row as a dict: one row, several, or none. Rows go through Python in Arrow batches."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[dict] = []
+            for row in batch.to_pylist():
+                got = change(row)
+                out += got if isinstance(got, list) else [] if got is None else [got]
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
 def canonical_role(role: Column) -> Column:
     name = F.replace(F.lower(role), F.lit("-"), F.lit("_"))
     for target, names in ROLE_NAMES.items():

@@ -79,6 +79,11 @@ def reward_metrics(df: DataFrame, group: str, reward: str) -> DataFrame:
     return one.join(F.broadcast(df.agg(F.coalesce(F.stddev_samp(reward), F.lit(0.0)).alias("batch_std"))))
 
 
+def kept_mask(mask: Column, finish_reason: Column) -> Column:
+    """The completion mask, all 0 where the completion was cut for its length."""
+    return F.when(F.coalesce(finish_reason == "length", F.lit(False)), F.transform(mask, lambda _: F.lit(0))).otherwise(mask)
+
+
 # Per-token maths.
 
 

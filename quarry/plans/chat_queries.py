@@ -231,6 +231,28 @@ def choice(spark, d):
     return table(spark, d, "documents").select("doc_id", T.choice_letter(F.replace(t, F.lit("ANSWER"), F.lit("REPLY"))).alias("s"))
 
 
+@query("p12_class_rows", "SELECT doc_id, 'user=' || coalesce(lang, '') || '|assistant=' || coalesce(source, '') AS shown, CAST(doc_id % 4 AS BIGINT) AS label FROM documents")
+def class_rows(spark, d):
+    df = table(spark, d, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("prompt"), F.coalesce("source", F.lit("")).alias("answer"), (F.col("doc_id") % 4).cast("string").alias("label"))
+    return P.class_rows(df).select("doc_id", shown(F.col("messages")).alias("shown"), "label")
+
+
+@query("t22_dataset_names", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'n' || doc_id WHEN 1 THEN 'org' || doc_id ELSE 'plain' || doc_id END AS s FROM documents")
+def dataset_names(spark, d):
+    i = F.col("doc_id").cast("string")
+    path = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("/c/hub/datasets--some--n"), i, F.lit("/snapshots/ab/"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("hub/org"), i, F.lit("//"))).otherwise(F.concat(F.lit("plain"), i))
+    return table(spark, d, "documents").select("doc_id", T.dataset_name(path).alias("s"))
+
+
+@query("x1_mapped_rows", "SELECT doc_id, k, lang || k AS s FROM documents, range(2) t(k) WHERE doc_id % 3 <> 0 AND (k = 0 OR doc_id % 3 = 2)")
+def mapped_rows(spark, d):
+    def change(row: dict):
+        one = lambda k: {"doc_id": row["doc_id"], "k": k, "s": None if row["lang"] is None else f"{row['lang']}{k}"}
+        return [None, one(0), [one(0), one(1)]][row["doc_id"] % 3]
+
+    return P.map_rows(table(spark, d, "documents").select("doc_id", "lang"), change, "doc_id long, k long, s string")
+
+
 @query("t18_names", "SELECT doc_id, replace(replace(lower(lang || '-' || source || ' X'), '-', '_'), ' ', '_') AS s FROM documents")
 def names(spark, d):
     return table(spark, d, "documents").select("doc_id", T.normalized_name(F.concat(F.lit(" "), "lang", F.lit("-"), "source", F.lit(" X "))).alias("s"))

@@ -446,6 +446,20 @@ def sublists(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(M.sublist_positions(F.split("source", ""), F.array(F.lit("1"))), ",").alias("at"))
 
 
+@query("m10_first_given", "SELECT doc_id, coalesce(nullif(lang, ''), nullif(CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END, ''), 'z') AS s, CASE WHEN doc_id % 3 <> 0 THEN doc_id % 3 WHEN doc_id % 5 <> 0 THEN doc_id % 5 ELSE -1 END AS n FROM documents")
+def first_given(spark, d):
+    texts = F.array("lang", F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(""), F.lit("z"))
+    return table(spark, d, "documents").select("doc_id", M.first_given(texts, F.lit("")).alias("s"), F.coalesce(M.first_given(F.array(F.col("doc_id") % 3, F.col("doc_id") % 5), F.lit(0)), F.lit(-1)).alias("n"))
+
+
+@query("m14_nan_statistics", """WITH g AS (SELECT l_orderkey, list(CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END) AS q FROM lineitem GROUP BY 1), u AS (SELECT l_orderkey, unnest(q) AS x FROM g)
+SELECT l_orderkey, round(coalesce(avg(x), -1), 6) AS mean, round(coalesce(stddev_samp(x), -1), 6) AS std, round(coalesce(sum(x), 0), 6) AS total FROM u GROUP BY 1""")
+def nan_statistics(spark, d):
+    x = F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity")).otherwise(float("nan"))
+    g = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(x).alias("q"))
+    return g.select("l_orderkey", *[F.round(F.nanvl(f(F.col("q")), F.lit(-1.0)), 6).alias(n) for n, f in (("mean", M.nan_mean), ("std", M.nan_std), ("total", M.nan_total))])
+
+
 # Windows.
 
 
@@ -537,6 +551,12 @@ def k3(spark, d):
     return _by_line(_tokens(spark, d), M.total(R.k3(F.col("a"), F.col("b"), F.col("mask"))), "k3")
 
 
+@query("f10_kept_masks", "SELECT event_id, CASE WHEN event_type = 'view' THEN '0,0,0' ELSE '1,0,1' END AS mask FROM events")
+def kept_masks(spark, d):
+    reason = F.when(F.col("event_type") == "view", "length").when(F.col("event_type") == "purchase", "stop")
+    return table(spark, d, "events").select("event_id", F.array_join(R.kept_mask(F.array(F.lit(1), F.lit(0), F.lit(1)), reason), ",").alias("mask"))
+
+
 @query("r9_token_advantage", f"WITH {TOK} SELECT {KEY3}, round(adv + 0.3 * (a1 - b1), 6) + 0.0 AS first FROM t")
 def token_advantage(spark, d):
     return _by_line(_tokens(spark, d), F.get(R.token_advantage(F.col("adv"), F.col("a"), F.col("b"), 0.3), F.lit(0)), "first")

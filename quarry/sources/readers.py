@@ -41,15 +41,35 @@ def retried(read, times: int = 3, wait: float = 1.0):
     raise AssertionError
 
 
+def split_paths(spark: SparkSession, path: str, subset: str, split: str) -> list[str]:
+    """Files or folders of one split of one subset under a folder: <subset>/<split>*, or <split>* for the default subset.
+
+    A path that is a file, or a folder without such parts, stands for all.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+
+    def found(glob: str) -> list[str]:
+        p = hadoop.Path(glob)
+        return sorted(str(x.getPath()) for x in p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or [])
+
+    base = path.rstrip("/")
+    parts = found(f"{base}/{subset}/{split}*")
+    if not parts and subset == "default":
+        parts = found(f"{base}/{split}*")
+    return parts or [path]
+
+
 def read_subsets(spark: SparkSession, dataset: Dataset, subsets: Sequence[Subset], retries: int = 1) -> DataFrame:
-    """All subsets and splits, one after the other, by name of columns."""
+    """All splits of all subsets, one after the other, by name of columns."""
     frames = []
     for s in subsets:
         if dataset.loader:
             frames.append(dataset.loader(spark, dataset, s))
             continue
-        df = retried(lambda: read_file(spark, dataset.path), retries)
-        frames.append(P.rename_columns(df, {**dataset.columns, **s.columns}))
+        for split in s.split:
+            for path in split_paths(spark, dataset.path, s.subset, split):
+                df = retried(lambda path=path: read_file(spark, path), retries)
+                frames.append(P.rename_columns(df, {**dataset.columns, **s.columns}))
     return L.concat(frames)
 
 
@@ -104,7 +124,15 @@ def read_cached(spark: SparkSession, path: str, max_length: int | None = None, r
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
-    df.write.mode("append" if append else "overwrite").json(path)
+    """JSON lines; null fields are written. Appending adds files to the folder."""
+    df.write.mode("append" if append else "overwrite").option("ignoreNullFields", False).json(path)
+
+
+def save_validation(val: DataFrame, folder: str) -> str:
+    """Add split-off validation rows to val_dataset.jsonl of a run's folder; returns its path."""
+    path = f"{folder.rstrip('/')}/val_dataset.jsonl"
+    write_jsonl(val, path, append=True)
+    return path
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:

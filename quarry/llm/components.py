@@ -18,7 +18,7 @@ HOT_PARTS = 64
 
 
 def looked_up(rows: DataFrame, key: str, table: DataFrame, rest: str) -> DataFrame:
-    """rows joined with table, which has one row for each `key`; rows of hot keys are dealt by the hash of `rest`.
+    """rows joined with table, which has one row for each `key`, a long; rows of hot keys are dealt by the hash of `rest`.
 
     Hot keys are found by a count; fewer than HOT_SHARE keys can be hot, so the driver may hold them.  Their rows of
     table are copied HOT_PARTS times.

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import exchange as X
 from quarry.llm.cluster import BATCH, checkpointed, in_batches, lean, text_bytes, trim
-from quarry.llm.components import Forest, components
+from quarry.llm.components import Forest, components, looked_up
 from quarry.llm.textblocks import U64, blocks, lower, mix, rows_of, slices, span_hashes, whole_windows, window_hashes, words
 
 SHINGLE = 5
@@ -289,7 +289,7 @@ def group_links(cand: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("words"), *[F.min(F.struct(F.xxhash64(F.lit(i), "id"), "id")).alias(f"p{i}") for i in range(PIVOTS)])
     chunks = F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.least(F.ceil(F.col("words") / GROUP_TOKENS), F.ceil(F.col("sets") / 2))).cast("int")
     sizes = checkpointed(sizes.withColumn("chunks", chunks))
-    placed = members.join(sizes.select("comp", "chunks"), "comp").withColumn("chunk", F.pmod(F.xxhash64(F.lit(77), "id"), F.col("chunks")).cast("int"))
+    placed = looked_up(members, "comp", sizes.select("comp", "chunks"), "id").withColumn("chunk", F.pmod(F.xxhash64(F.lit(77), "id"), F.col("chunks")).cast("int"))
     pivot_ids = sizes.where("chunks > 1").select("comp", "chunks", F.explode(F.array_distinct(F.array(*[F.col(f"p{i}.id") for i in range(PIVOTS)]))).alias("id"))
     pivots = members.join(pivot_ids, ["comp", "id"]).select("comp", "id", "n", "tokens", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     dealt = placed.select("comp", "chunk", "id", "tokens").union(pivots.select("comp", "chunk", "id", "tokens"))
@@ -318,7 +318,7 @@ def group_links(cand: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     share = named.groupBy("comp", "label").count()
     main = share.groupBy("comp").agg(F.max(F.struct("count", F.col("label").alias("main"))).alias("m"), F.sum("count").alias("all")).select("comp", F.col("m.main").alias("main"), (F.col("all") - F.col("m.count")).alias("rest"))
     main = main.where("rest > 0").withColumn("parts", F.ceil(F.col("rest") / (GROUP_SETS // 2)).cast("int"))
-    ready = checkpointed(named.join(main, "comp"))
+    ready = checkpointed(looked_up(named, "comp", main, "id"))
     rest = ready.where("label <> main").withColumn("part", F.pmod(F.xxhash64(F.lit(78), "id"), F.col("parts")).cast("int"))
     left = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("comp", "chunk", "part", "id", "label", "tokens", F.lit(True).alias("asks"))
     right = ready.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("comp", "chunk", "part", "id", "label", "tokens", F.lit(False).alias("asks"))
@@ -348,11 +348,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     cand = candidates(rows.where("text IS NOT NULL AND n > 0").select("h1", "h2", "text"), text_bytes(docs, text), k, percent)
     groups = components(candidate_edges(cand, percent))
     comp = components(group_links(cand, groups, percent))
-    slim = rows.select("doc_id", "n", "h1", "h2")
+    slim = checkpointed(rows.select("doc_id", "n", "h1", "h2"))
     least = slim.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("least"))
-    named = least.join(comp.select(F.col("id").alias("h1"), "comp"), "h1", "left").withColumn("comp", F.coalesce("comp", "h1"))
+    named = checkpointed(least.join(comp.select(F.col("id").alias("h1"), "comp"), "h1", "left").withColumn("comp", F.coalesce("comp", "h1")))
     heads = named.groupBy("comp").agg(F.min("least").alias("head"))
-    class_heads = named.join(heads, "comp").select("h1", "h2", "n", "head")
+    class_heads = looked_up(named, "comp", heads, "h1").select("h1", "h2", "n", "head")
     out = slim.join(class_heads, ["h1", "h2", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("doc_id")).alias("component_id"))
 

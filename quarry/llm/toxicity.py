@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
@@ -303,8 +303,9 @@ def posterior_sample(docs: DataFrame, voted: DataFrame, seen: list, post: np.nda
     spark = docs.sparkSession
     known = spark.createDataFrame([(int(r[0]), float(r[1]), float(p)) for r, p in zip(seen, post, strict=True)], "votes int, y double, __post double")  # at most 3 * 2**voters rows
     met = voted.where("doc_id IS NOT NULL").join(F.broadcast(known), ["votes", "y"]).select(F.col("doc_id").alias("__id"), "__post", "y")
-    order = Window.partitionBy(F.col("y") >= 0, F.col("__post") > 0.5).orderBy(F.xxhash64(F.lit(13), "__id"), "__id")
-    least = met.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= rows // 4).groupBy("__id").agg(F.max("__post").alias("label"))
+    order = (F.xxhash64(F.lit(13), "__id"), "__id")
+    parts = [met.where(F.col("y") >= 0 if labelled else F.col("y") < 0).where(f"__post {high} 0.5").orderBy(*order).limit(rows // 4) for labelled in (True, False) for high in (">", "<=")]
+    least = parts[0].union(parts[1]).union(parts[2]).union(parts[3]).groupBy("__id").agg(F.max("__post").alias("label"))
     found = docs.select(F.col("doc_id").alias("__id"), F.col(text).alias("__text")).join(F.broadcast(least), "__id")  # `rows` ids at most
     return found.groupBy("__id").agg(F.first("label").alias("label"), F.min("__text").alias("text")).withColumnRenamed("__id", "doc_id")
 

@@ -43,7 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts count no word and may be drawn; a null source is a source of its own.
     """
-    return mixing.mixed(docs).select(*docs.columns)
+    aside = {c: f"__own_{c}" for c in ("shard", "position") if c in docs.columns}
+    return mixing.mixed(docs.withColumnsRenamed(aside)).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,10 +104,11 @@ def vqa_accuracy(pred: Column, refs: Column) -> Column:
     return F.when(F.size(refs) == 1, hits.cast("double")).otherwise(F.least(hits / 3, F.lit(1.0)))
 
 
-def first_yes_no(text: Column) -> Column:
-    """'yes' or 'no', whichever stands first as a word; null without either."""
-    hit = F.regexp_extract(F.lower(text), r"\b(yes|no)\b", 1)
-    return F.when(hit != "", hit)
+def first_yes_no(text: Column, ascii_words: bool = False) -> Column:
+    """'yes' or 'no' in either case, whichever stands first as a word; null without either. Words are of letters, numbers and _; with ascii_words, of those in ASCII."""
+    w = "A-Za-z0-9_" if ascii_words else r"\p{L}\p{N}_"  # no \b: which characters it takes for a word's depends on Java's version
+    hit = F.regexp_extract(text, rf"(?i)(?<![{w}])(yes|no)(?![{w}])", 1)
+    return F.nullif(F.lower(hit), F.lit(""))
 
 
 def choice_letter(text: Column) -> Column:

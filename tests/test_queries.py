@@ -26,6 +26,21 @@ def test_query_matches_sql_on_more_rows(name, spark):
     same_rows(QUERIES[name](spark, big).toPandas(), con.sql(ORACLES[name]).df())
 
 
+def test_yes_no_matches_sql_beside_any_character(spark, tmp_path):
+    import duckdb
+
+    beside = ["", *map(chr, [*range(0x600), *range(0x2000, 0x2200), 0xFF4E, 0x1F600, 0x10400])]  # letters, digits, marks, dotted I, Kelvin sign and others
+    texts = [None, *(t for x in beside for t in (f"{x}no yes", f"no{x} yes", f"YE{x} {x}No\n{x}yes"))]
+    rows = [(i, turn, t) for i, t in enumerate(texts) for turn in (2, 3, 4)] + [(-1, None, "no\u00f1o Yes"), (None, -1, "yes\u00f3 no")]
+    spark.createDataFrame(rows, "conv_id long, turn int, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    order = lambda r: tuple((x is None, x) for x in r)
+    got = sorted((tuple(r) for r in QUERIES["t10_yes_no"](spark, str(tmp_path)).collect()), key=order)
+    want = sorted(con.sql(ORACLES["t10_yes_no"]).fetchall(), key=order)
+    assert len(got) == len(rows) and [x for x in zip(got, want, strict=True) if x[0] != x[1]][:5] == []
+
+
 def test_repetition_matches_plain_python(spark):
     for r in QUERIES["o5_repetition_reward"](spark, DATA).join(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text"), "doc_id").collect():
         w = re.split(r"[ \t\n\x0b\f\r]+", r.text.lower())

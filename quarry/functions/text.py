@@ -106,8 +106,9 @@ def vqa_accuracy(pred: Column, refs: Column) -> Column:
 
 def first_yes_no(text: Column, ascii_words: bool = False) -> Column:
     """'yes' or 'no' in either case, whichever stands first as a word; null without either. Words are of letters, numbers and _; with ascii_words, of those in ASCII."""
-    w = "A-Za-z0-9_" if ascii_words else r"\p{L}\p{N}_"  # no \b: which characters it takes for a word's depends on Java's version
-    hit = F.regexp_extract(text, rf"(?i)(?<![{w}])(yes|no)(?![{w}])", 1)
+    # No \b: which characters it takes for a word's depends on Java's version. Java looks back by UTF-16 units, of which a letter has one or two.
+    w, units = ("[A-Za-z0-9_]", "") if ascii_words else (r"[\p{L}\p{N}_]", "{1,2}")
+    hit = F.regexp_extract(text, rf"(?i)(?<!{w}{units})(yes|no)(?!{w})", 1)
     return F.nullif(F.lower(hit), F.lit(""))
 
 

@@ -38,7 +38,7 @@ def test_split_parts_column(spark):
     assert [x.content for x in row[0].p] == ["a", "c"] and row[1].p == []
 
 
-@pytest.mark.parametrize("text,whole,in_ascii", [("No\u00f1o. Yes", "yes", "no"), ("\u00f3yes, NO", "no", "yes"), ("no\u0303 yes", "no", "no"), ("no9 _yes", None, None), ("", None, None), (None, None, None)])
+@pytest.mark.parametrize("text,whole,in_ascii", [("No\u00f1o. Yes", "yes", "no"), ("\u00f3yes, NO", "no", "yes"), ("no\u0303 yes", "no", "no"), ("no9 _yes", None, None), ("\U00010400no yes", "yes", "no"), ("no\U00010400 yes", "yes", "no"), ("\U0001f600no yes", "no", "no"), ("", None, None), (None, None, None)])
 def test_yes_no_words(spark, text, whole, in_ascii):
     row = spark.createDataFrame([(text,)], "t string").select(T.first_yes_no(F.col("t")).alias("w"), T.first_yes_no(F.col("t"), ascii_words=True).alias("a")).first()
     assert (row.w, row.a) == (whole, in_ascii)
